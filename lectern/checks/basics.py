@@ -23,7 +23,7 @@ def ingest_json(spark, d):
     lines = _t(spark, d, "events").select(F.col("props").alias("value")).unionAll(
         _t(spark, d, "documents").select("text")
     )
-    return json_objects(lines, ["k"]).select(whole_number(F.col("k")).alias("k"))
+    return json_objects(lines, ["k"]).select(whole_number("k"))
 
 
 def mask_person(spark, d):

@@ -14,7 +14,7 @@ from ..sources.lake import Lake, write_table
 from ..sources.reads import READS, read
 from ..sources.specs import CLEANED
 from .basics import parts_sql, rate_sql
-from .logs import DAYS, DT, RAW, cleaned_sql, derived_tables, log_lines
+from .logs import DAYS, DT, RAW, cleaned_sql, derived_tables, ingested, log_lines
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -48,7 +48,7 @@ def _on(alias: str, other: str, *keys: str) -> str:
 
 
 def _ingest(table):
-    return lambda spark, d: derived_tables(spark, d)(table)
+    return lambda spark, d: ingested(spark, d, table)
 
 
 for _table in RAW:

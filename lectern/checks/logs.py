@@ -10,11 +10,12 @@ SQL that Spark and DuckDB both accept. A key without an expression gets
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.jsonlines import clean
+from ..sources.jsonlines import clean, typed
 from ..sources.specs import CLEANED, TableSpec
 
 DT = "20190722"
@@ -164,19 +165,40 @@ RAW: dict[str, Raw] = {
 }
 
 
-def log_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """The raw log behind a cleaned table. A null key is left out of its line."""
+def _keys(rows: DataFrame, table: str, form: str = "{}") -> DataFrame:
+    """The raw keys of a log from the rows of its base table."""
     spec, raw = CLEANED[table], RAW[table]
-    rows = spark.read.parquet(f"{sf_dir}/{raw.base}.parquet")
     if raw.per_site:
         rows = rows.withColumn("dn", F.explode(F.array(*(F.lit(s) for s in SITES))))
-    line = F.struct(*(F.expr(raw.expr(spec, k)).alias(k) for k in spec.raw_keys))
-    return rows.select(F.to_json(line).alias("value"))
+    return rows.selectExpr(
+        *(f"{form.format(raw.expr(spec, k))} AS `{k}`" for k in spec.raw_keys)
+    )
+
+
+def log_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The raw log behind a cleaned table. A null key is left out of its line."""
+    rows = _keys(spark.read.parquet(f"{sf_dir}/{RAW[table].base}.parquet"), table)
+    return rows.select(F.to_json(F.struct("*")).alias("value"))
+
+
+def ingested(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A cleaned table, parsed from the lines of its log."""
+    return clean(log_lines(spark, sf_dir, table), CLEANED[table])
 
 
 def derived_tables(spark: SparkSession, sf_dir: str):
-    """A loader of cleaned tables, each ingested from its derived log."""
-    return lambda table: clean(log_lines(spark, sf_dir, table), CLEANED[table])
+    """A loader of cleaned tables for the later layers.
+
+    It gives what ``ingested`` gives without writing and parsing text, so that
+    pruned columns reach the scan as they do over stored cleaned tables.
+    """
+    base = cache(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+    def load(table: str) -> DataFrame:
+        keys = _keys(base(RAW[table].base), table, "CAST({} AS STRING)")
+        return typed(keys, CLEANED[table])
+
+    return load
 
 
 _EXPECTED = {

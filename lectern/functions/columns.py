@@ -38,11 +38,15 @@ def label(c: Column, names: Mapping[str, str], default: str) -> Column:
     return F.lit(default) if out is None else out.otherwise(default)
 
 
-def whole_number(c: Column) -> Column:
-    """Text to int as a lenient log reader does: fractions are cut, anything else is 0."""
-    text = F.trim(c)
-    return F.coalesce(
-        text.try_cast("int"), text.try_cast("decimal(38,18)").try_cast("int"), F.lit(0)
+def whole_number(name: str) -> Column:
+    """A text column to int as a lenient log reader does.
+
+    Fractions are cut; null and anything unreadable is 0.
+    """
+    text = f"trim(`{name}`)"
+    return F.expr(
+        f"coalesce(try_cast({text} AS INT),"
+        f" try_cast(try_cast({text} AS DECIMAL(38,18)) AS INT), 0) AS `{name}`"
     )
 
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
+def broadcast_checked(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Hint a broadcast only when the side is counted and found small.
 
     Beyond ``max_rows`` the frame is returned without a hint, so the join is
@@ -19,14 +19,6 @@ def broadcast_checked(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
-def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Equality of the keys, null matching null."""
-    out = F.lit(True)
-    for k in keys:
-        out = out & left[k].eqNullSafe(right[k])
-    return out
-
-
 def one_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
 ) -> DataFrame:

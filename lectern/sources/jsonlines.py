@@ -50,14 +50,16 @@ def json_objects(lines: DataFrame, keys: list[str], strict: bool = True) -> Data
         rows = rows.where(whole & F.col("o")[0].isNotNull()).select(F.col("o")[0].alias("o"))
     else:
         rows = rows.select(F.when(whole, F.col("o")[0]).alias("o"))
-    return rows.select([F.col("o").getField(k).alias(k) for k in keys])
+    return rows.selectExpr(*(f"o.`{k}`" for k in keys))
 
 
-def _typed(field: Field, phone_variant: str) -> Column:
-    c = F.col(f"`{field.key}`")
+def _typed(field: Field, phone_variant: str) -> Column | str:
     kind = field.kind
+    if kind == "s" and field.key == field.name:
+        return f"`{field.key}`"
+    c = F.col(f"`{field.key}`")
     if kind == "i":
-        c = whole_number(c)
+        c = whole_number(field.key)
     elif kind == "d1":
         c = round_score(c)
     elif kind == "name":
@@ -68,12 +70,14 @@ def _typed(field: Field, phone_variant: str) -> Column:
         c = F.lit(PASSWORD_MASK)
     elif kind == "platform":
         c = label(c, PLATFORMS, OTHER_PLATFORM)
-    return c.alias(field.name)
+    return c if kind == "i" and field.key == field.name else c.alias(field.name)
 
 
-def clean(
-    lines: DataFrame, spec: TableSpec, strict: bool = True, phone_variant: str = "eleven"
-) -> DataFrame:
-    """Lines of a raw log to the rows of its cleaned table. A map-only plan."""
-    raw = json_objects(lines, spec.raw_keys, strict)
+def typed(raw: DataFrame, spec: TableSpec, phone_variant: str = "eleven") -> DataFrame:
+    """Raw keys as text to the typed columns of a table."""
     return raw.select([_typed(f, phone_variant) for f in spec.fields])
+
+
+def clean(lines: DataFrame, spec: TableSpec) -> DataFrame:
+    """Lines of a raw log to the rows of its cleaned table. A map-only plan."""
+    return typed(json_objects(lines, spec.raw_keys), spec)

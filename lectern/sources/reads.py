@@ -35,11 +35,8 @@ class Read:
             names.update({c: f"{head}{c}" for c in cols.split()})
         drop = self.drop.split()
         cols = self.keep.split() or [c for c in df.columns if c not in drop]
-        out = []
-        for c in cols:
-            expr = money(F.col(c)) if c == self.money else F.col(c)
-            out.append(expr.alias(names.get(c, c)))
-        return df.select(out)
+        out = df.selectExpr(*(f"`{c}` AS `{names[c]}`" if c in names else f"`{c}`" for c in cols))
+        return out.withColumn(self.money, money(F.col(self.money))) if self.money else out
 
 
 # The columns each read keeps and their new names

@@ -1,0 +1,36 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+from lectern.session import build  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build(
+        "tests",
+        "local[4]",
+        **{
+            "spark.ui.enabled": "false",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def rows():
+    """Collect a frame as sorted tuples."""
+
+    def collect(df, *cols):
+        df = df.select(*cols) if cols else df
+        return sorted((tuple(r) for r in df.collect()), key=repr)
+
+    return collect

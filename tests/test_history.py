@@ -1,0 +1,165 @@
+import random
+from decimal import Decimal
+
+import pytest
+
+from lectern.operators.history import (
+    COLUMNS,
+    close_versions,
+    day_increment,
+    merge_day,
+    merge_history,
+    undo_day,
+)
+from lectern.plans.jobs import build_history, history
+from lectern.sources import CLEANED, Lake
+
+DAYS = ["20190720", "20190721", "20190722", "20190723"]
+OPEN = "9999-12-31"
+SCHEMA = "uid int, paymoney decimal(20,4), vip_level string, start_time string, end_time string," \
+    " dn string"
+
+
+def iso(dt):
+    return f"{dt[:4]}-{dt[4:6]}-{dt[6:]}"
+
+
+def payments(seed=5):
+    """Random payments; uid 0 pays most, uid 9 has an unknown level, dn may be null."""
+    r = random.Random(seed)
+    rows = []
+    for dt in DAYS:
+        for _ in range(40):
+            uid = r.choice([0] * 6 + list(range(1, 9)))
+            money = str(r.randrange(1, 10_000) / 100)
+            rows.append((uid, money, 1, r.choice([1, 2]), dt, r.choice(["a", "b"])))
+        rows.append((9, "5", 1, 77, dt, "a"))
+    return rows
+
+
+@pytest.fixture
+def inputs(spark):
+    pay = spark.createDataFrame(payments(), CLEANED["dwd_pcentermempaymoney"].schema)
+    vip = spark.createDataFrame(
+        [(v, f"L{v}", dn) for v in (1, 2) for dn in ("a", "b")],
+        "vip_id int, vip_level string, dn string",
+    )
+    return pay, vip
+
+
+def replay(upto):
+    """The history by hand."""
+    versions = {}
+    for dt in DAYS[: DAYS.index(upto) + 1]:
+        day = {}
+        for uid, money, _, vip, when, dn in payments():
+            if when == dt and vip in (1, 2):
+                paid, level = day.get((uid, dn), (Decimal(0), ""))
+                day[uid, dn] = paid + Decimal(money), max(level, f"L{vip}")
+        for key, (paid, level) in day.items():
+            mine = versions.setdefault(key, [])
+            if mine:
+                mine[-1][3] = iso(dt)
+                paid += mine[-1][0]
+            mine.append([paid, level, iso(dt), OPEN])
+    return sorted(
+        (
+            (uid, p.quantize(Decimal("0.0001")), level, start, end, dn)
+            for (uid, dn), vs in versions.items()
+            for p, level, start, end in vs
+        ),
+        key=repr,
+    )
+
+
+def test_merge_matches_replay(spark, rows, inputs):
+    merged = spark.createDataFrame([], SCHEMA)
+    windowed = merged
+    for dt in DAYS:
+        day = day_increment(*inputs, dt)
+        merged = merge_history(merged, day, dt)
+        windowed = close_versions(windowed.unionByName(day))
+        assert rows(merged, *COLUMNS) == replay(dt)
+        assert rows(windowed, *COLUMNS) == replay(dt)
+
+
+def test_same_day_again_changes_nothing(spark, rows, inputs):
+    h = spark.createDataFrame([], SCHEMA)
+    for dt in DAYS:
+        h = merge_history(h, day_increment(*inputs, dt), dt)
+    again = merge_history(h, day_increment(*inputs, DAYS[-1]), DAYS[-1])
+    assert rows(again, *COLUMNS) == rows(h, *COLUMNS)
+    assert rows(undo_day(h, DAYS[-1]), *COLUMNS) == replay(DAYS[-2])
+
+
+def test_fixed_cases(spark, rows):
+    d = Decimal
+    h = spark.createDataFrame(
+        [
+            (1, d(10), "L1", "2019-07-01", OPEN, "a"),
+            (2, d(5), "L1", "2019-07-01", "2019-07-10", "a"),
+            (2, d(8), "L2", "2019-07-10", OPEN, "a"),
+            (3, d(7), "L1", "2019-07-01", OPEN, "a"),
+            (1, d(99), "L1", "2019-07-01", OPEN, "b"),
+            (6, None, "L1", "2019-07-01", OPEN, None),
+        ],
+        SCHEMA,
+    )
+    day = spark.createDataFrame(
+        [
+            (1, d(1), "L2", "2019-07-22", OPEN, "a"),
+            (2, d(2), "L1", "2019-07-22", OPEN, "a"),
+            (4, d(3), "L1", "2019-07-22", OPEN, "a"),
+            (6, None, "L3", "2019-07-22", OPEN, None),
+        ],
+        SCHEMA,
+    )
+    got = rows(merge_history(h, day, "20190722"))
+    want = [
+        (1, d(10), "L1", "2019-07-01", "2019-07-22", "a"),
+        (1, d(11), "L2", "2019-07-22", OPEN, "a"),
+        (1, d(99), "L1", "2019-07-01", OPEN, "b"),
+        (2, d(5), "L1", "2019-07-01", "2019-07-10", "a"),
+        (2, d(8), "L2", "2019-07-10", "2019-07-22", "a"),
+        (2, d(10), "L1", "2019-07-22", OPEN, "a"),
+        (3, d(7), "L1", "2019-07-01", OPEN, "a"),
+        (4, d(3), "L1", "2019-07-22", OPEN, "a"),
+        (6, None, "L1", "2019-07-01", "2019-07-22", None),
+        (6, None, "L3", "2019-07-22", OPEN, None),
+    ]
+    assert got == rows(spark.createDataFrame(want, SCHEMA))
+
+
+def test_properties(spark, inputs):
+    h = spark.createDataFrame([], SCHEMA)
+    for dt in DAYS:
+        h = merge_history(h, day_increment(*inputs, dt), dt)
+    by_key = {}
+    for r in h.collect():
+        by_key.setdefault((r.uid, r.dn), []).append(r)
+    for versions in by_key.values():
+        versions.sort(key=lambda r: r.start_time)
+        assert [v.end_time for v in versions] == [v.start_time for v in versions[1:]] + [OPEN]
+
+
+def test_merge_reads_open_rows_once(spark, inputs):
+    h = spark.createDataFrame([], SCHEMA)
+    plan = merge_day(h, day_increment(*inputs, DAYS[0]))._jdf.queryExecution()
+    assert plan.optimizedPlan().toString().count("Join FullOuter") == 1
+
+
+def test_stored_history(spark, rows, inputs, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    pay, _ = inputs
+    lake.write(pay, "dwd_pcentermempaymoney")
+    vip = [(v, f"L{v}", *[None] * 7, dn) for v in (1, 2) for dn in ("a", "b")]
+    lake.write(
+        spark.createDataFrame(vip, CLEANED["dwd_vip_level"].schema), "dwd_vip_level", ["dn"]
+    )
+    for dt in DAYS:
+        build_history(lake, dt)
+    # any day again, then the ones after it
+    for dt in [DAYS[3], DAYS[1], DAYS[2], DAYS[3]]:
+        build_history(lake, dt)
+    for dt in DAYS:
+        assert rows(history(lake, dt)) == replay(dt)

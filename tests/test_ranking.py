@@ -1,0 +1,90 @@
+import random
+from collections import defaultdict
+
+from pyspark.sql import functions as F
+
+from lectern.operators.joins import broadcast_checked, one_per_key
+from lectern.operators.ranking import top_levels, top_rows
+
+
+def data(spark, seed=1, n=2000):
+    """A group with most rows, ties, nulls in key and value, and a small group."""
+    r = random.Random(seed)
+    rows = [
+        (i, r.choice(["hot"] * 4 + ["a", "b", None]), r.choice([None, 1.0, 2.5, 3.5, 4.5, 9.0]))
+        for i in range(n)
+    ] + [(n, "tiny", 1.0)]
+    return rows, spark.createDataFrame(rows, "id int, k string, v double")
+
+
+def expected_levels(rows, n, descending):
+    groups = defaultdict(set)
+    for _, k, v in rows:
+        groups[k].add(v)
+
+    def order(v):
+        if v is None:
+            return (1, 0) if descending else (-1, 0)
+        return (0, -v if descending else v)
+
+    rank = {
+        (k, v): i + 1 for k, vs in groups.items() for i, v in enumerate(sorted(vs, key=order))
+    }
+    return sorted(
+        ((i, k, v, rank[k, v]) for i, k, v in rows if rank[k, v] <= n), key=repr
+    )
+
+
+def test_top_levels(spark, rows):
+    given, df = data(spark)
+    for descending in (True, False):
+        got = rows(top_levels(df, ["k"], "v", 3, descending))
+        assert got == expected_levels(given, 3, descending)
+
+
+def test_top_levels_when_nulls_rank(spark, rows):
+    given, df = data(spark)
+    assert rows(top_levels(df, ["k"], "v", 6)) == expected_levels(given, 6, True)
+
+
+def test_top_rows(spark, rows):
+    given, df = data(spark)
+    got = rows(top_rows(df, ["k"], [F.desc_nulls_last("v"), "id"], 3))
+    groups = defaultdict(list)
+    for row in given:
+        groups[row[1]].append(row)
+    want = []
+    for members in groups.values():
+        members.sort(key=lambda x: (x[2] is None, -(x[2] or 0), x[0]))
+        want += [(*m, i + 1) for i, m in enumerate(members[:3])]
+    assert got == sorted(want, key=repr)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_groups_are_cut_before_the_shuffle(spark):
+    _, df = data(spark)
+    plan = plan_of(top_rows(df, ["k"], [F.desc("v"), "id"], 3))
+    before = plan.split("Exchange")[1]
+    assert "WindowGroupLimit" in before and "Partial" in before
+    # rows are never ranked by level, only their distinct values are
+    levels = plan_of(top_levels(df, ["k"], "v", 3))
+    assert "WindowGroupLimit" in levels and "HashAggregate" in levels.split("WindowGroupLimit")[-1]
+
+
+def test_one_per_key(spark, rows):
+    df = spark.createDataFrame(
+        [("a", 2, "x"), ("a", 1, "z"), ("a", 1, "y"), ("b", None, "q"), (None, 1, "n")],
+        "k string, o int, v string",
+    )
+    assert rows(one_per_key(df, ["k"], ["o"])) == rows(
+        spark.createDataFrame([("a", 1, "y"), ("b", None, "q"), (None, 1, "n")], df.schema)
+    )
+
+
+def test_broadcast_only_when_small(spark):
+    df = spark.range(100)
+    assert "broadcast" in broadcast_checked(df, 100)._jdf.queryExecution().toString().lower()
+    assert "broadcast" not in broadcast_checked(df, 99)._jdf.queryExecution().toString().lower()
