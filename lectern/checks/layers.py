@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -260,19 +261,34 @@ for _column in members.COUNT_REPORTS.values():
         **_REPORT_ROWS,
     )
 
-QUERIES["top3_payers"] = _member_report(members.top_payers)
-SQL["top3_payers"] = _with(
-    """SELECT * FROM (SELECT uid, memberlevel, register, appregurl, regsourcename, adname,
-            sitename, vip_level, CAST(paymoney AS DECIMAL(10,4)) AS paymoney,
+
+
+def _top_payers_sql(columns: str) -> str:
+    return _with(
+        f"""SELECT * FROM (SELECT {columns}, dn,
+            TRY_CAST(paymoney AS DECIMAL(10,4)) AS paymoney,
             CAST(ROW_NUMBER() OVER (PARTITION BY dn, memberlevel
                 ORDER BY TRY_CAST(paymoney AS DECIMAL(10,4)) DESC NULLS LAST, uid)
-                AS INTEGER) AS rownum,
-            dt, dn FROM w) WHERE rownum < 4""".replace(
-        " CAST(paymoney", " TRY_CAST(paymoney"
-    ),
-    *_MEMBER_INPUTS,
-    **_REPORT_ROWS,
+                AS INTEGER) AS rownum
+        FROM w) WHERE rownum < 4""",
+        *_MEMBER_INPUTS,
+        **_REPORT_ROWS,
+    )
+
+
+QUERIES["top3_payers"] = _member_report(members.top_payers)
+SQL["top3_payers"] = _top_payers_sql(
+    "uid, memberlevel, register, appregurl, regsourcename, adname, sitename, vip_level, dt"
+)
+# the wider form of the report
+_WIDER = (
+    "uid ad_id memberlevel register appregurl regsource regsourcename adname siteid sitename"
+    " vip_level"
+).split()
+QUERIES["top3_payers_wider"] = _member_report(
+    lambda rows: members.top_payers(rows, columns=[*_WIDER, "paymoney", "rownum", "dn"])
 )
+SQL["top3_payers_wider"] = _top_payers_sql(", ".join(_WIDER))
 
 # history of payments
 
@@ -427,9 +443,11 @@ SQL["paper_extremes"] = _exam_sql(
 )
 
 
-def _ranked_sql(order: str, keys: str = "paperviewid") -> str:
+def _ranked_sql(
+    order: str, keys: str = "paperviewid", columns: Sequence[str] = exams.RANKED_COLUMNS
+) -> str:
     return _exam_sql(
-        f"""SELECT * FROM (SELECT {', '.join(exams.RANKED_COLUMNS)},
+        f"""SELECT * FROM (SELECT {', '.join(columns)},
             CAST(DENSE_RANK() OVER (PARTITION BY {keys} ORDER BY score {order}) AS INTEGER) AS rk
         FROM w) WHERE rk < 4"""
     )
@@ -441,6 +459,12 @@ QUERIES["low3_answers"] = _exam_report(lambda w: exams.ranked(w, best=False))
 SQL["low3_answers"] = _ranked_sql("ASC NULLS FIRST")
 QUERIES["top3_answers_by_website"] = _exam_report(lambda w: exams.ranked(w, by_website=True))
 SQL["top3_answers_by_website"] = _ranked_sql("DESC NULLS LAST", "paperviewid, dn")
+# the form of the report that names the site and not the paper view
+_WITH_SITE = [c for c in exams.RANKED_COLUMNS if c != "paperviewid"] + ["sitename"]
+QUERIES["low3_answers_with_site"] = _exam_report(
+    lambda w: exams.ranked(w, best=False, columns=_WITH_SITE)
+)
+SQL["low3_answers_with_site"] = _ranked_sql("ASC NULLS FIRST", columns=_WITH_SITE)
 
 _BANDED = """SELECT paperviewid, paperviewname, userid, dt, dn, CASE
         WHEN score >= 0 AND score <= 20 THEN '0-20' WHEN score > 20 AND score <= 40 THEN '20-40'

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -133,7 +133,9 @@ def registrations_by(rows: DataFrame, column: str) -> DataFrame:
     return count_by(rows, [column, "dn", "dt"], "uid").select(column, "num", "dt", "dn")
 
 
-def top_payers(rows: DataFrame, n: int = 3) -> DataFrame:
+def top_payers(
+    rows: DataFrame, n: int = 3, columns: Sequence[str] = TOP_PAYER_COLUMNS
+) -> DataFrame:
     """The members who paid most, per website and member level."""
     best = top_rows(rows, ["dn", "memberlevel"], [F.desc_nulls_last("paymoney"), "uid"], n)
-    return best.select(*TOP_PAYER_COLUMNS).orderBy("memberlevel", "rownum", "dn")
+    return best.select(*columns).orderBy("memberlevel", "rownum", "dn")

@@ -1,0 +1,106 @@
+import pytest
+
+from lectern.plans import exams
+from tests.test_members import table
+
+DT = "20190722"
+DAY = {"dt": DT, "dn": "a"}
+
+
+def _both_days(rows):
+    """The same rows on an earlier day, under names that must not appear."""
+    return [{**DAY, **r} for r in rows] + [
+        {**DAY, **r, "dt": "20190721", "creator": "old"} for r in rows
+    ]
+
+
+@pytest.fixture
+def load(spark):
+    given = {
+        "dwd_qz_chapter": [{"chapterid": c, "chapterlistid": 1, "creator": "ch"} for c in (1, 2)],
+        "dwd_qz_chapter_list": [{"chapterlistid": 1, "chapterlistname": "list"}],
+        # chapter 1 has two points of two questions each; chapter 2 has none
+        "dwd_qz_point": [{"pointid": p, "chapterid": 1, "pointname": f"p{p}"} for p in (1, 2)],
+        "dwd_qz_point_question": [
+            {"pointid": p, "questionid": q} for p in (1, 2) for q in (10, 11)
+        ],
+        "dwd_qz_site_course": [{"sitecourseid": 1, "courseid": 5, "siteid": 1, "creator": "sc"}],
+        "dwd_qz_course": [{"courseid": 5, "majorid": 3, "creator": "course"}],
+        "dwd_qz_course_edusubject": [{"courseid": 5, "courseeduid": 8}],
+        "dwd_qz_major": [{"majorid": 3, "businessid": 4, "siteid": 1, "creator": "ma"}],
+        "dwd_qz_website": [{"siteid": 1, "sitename": "site", "creator": "web"}],
+        "dwd_qz_business": [{"businessid": 4, "businessname": "b"}],
+        # view 2 has no center, view 3 no paper
+        "dwd_qz_paper_view": [
+            {"paperviewid": v, "paperid": v, "paperviewname": f"v{v}", "creator": "pv"}
+            for v in (1, 2, 3)
+        ],
+        "dwd_qz_center_paper": [{"paperviewid": 1, "centerid": 6}],
+        "dwd_qz_center": [{"centerid": 6, "centername": "center", "stage": "st"}],
+        "dwd_qz_paper": [{"paperid": v, "papername": f"paper{v}"} for v in (1, 2)],
+        "dwd_qz_question": [
+            {"questionid": q, "questypeid": 7, "content": "c", "creator": "qu"} for q in (10, 11)
+        ],
+        "dwd_qz_question_type": [{"questypeid": 7, "description": "about"}],
+        "dwd_qz_member_paper_question": [
+            {
+                "userid": u, "paperviewid": v, "chapterid": c, "sitecourseid": 1,
+                "questionid": 10, "majorid": 3, "question_answer": 1, "dn": dn,
+            }
+            for u, v, c, dn in [
+                (1, 1, 1, "a"), (2, 2, 1, "a"), (3, 3, 1, "a"), (4, 1, 2, "a"), (5, 1, 1, "z"),
+            ]
+        ],
+    }
+    frames = {n: table(spark, n, _both_days(r)) for n, r in given.items()}
+
+    def get(name):
+        if name in exams.DIMENSIONS:
+            return exams.DIMENSIONS[name](get, DT)
+        return frames[name]
+
+    return get
+
+
+@pytest.mark.parametrize(
+    "name, width, count",
+    [
+        ("dws_qz_chapter", 32, 4), ("dws_qz_course", 22, 1), ("dws_qz_major", 18, 1),
+        ("dws_qz_paper", 40, 2), ("dws_qz_question", 29, 2),
+    ],
+)
+def test_dimensions(load, name, width, count):
+    df = load(name)
+    assert len(df.columns) == width == len(set(df.columns))
+    assert df.count() == count
+    assert {r.dt for r in df.collect()} == {DT}
+    creators = [c for c in df.columns if c.endswith("creator")]
+    want = {"chapter": "ch", "course": "sc", "major": "ma", "paper": "pv", "question": "qu"}
+    assert {r[creators[0]] for r in df.collect()} == {want[name[7:]]}
+
+
+def test_left_joins_of_papers(load, rows):
+    assert rows(load("dws_qz_paper"), "paperviewid", "centername", "stage", "papername") == [
+        (1, "center", "st", "paper1"), (2, None, None, "paper2"),
+    ]
+
+
+def test_answers_multiply_by_points_and_questions(load, rows):
+    wide = exams.answer_wide(load, DT)
+    assert len(wide.columns) == 119 == len(set(wide.columns))
+    # answers 3 (no paper), 4 (no points) and 5 (other website) drop out
+    assert rows(wide, "userid", "pointname") == [
+        (u, p) for u in (1, 2) for p in ("p1", "p1", "p2", "p2")
+    ]
+    assert {r.question_description for r in wide.collect()} == {"about"}
+
+
+def test_one_row_per_answer(load, rows):
+    wide = exams.answer_wide(load, DT, answer_grain=True)
+    assert len(wide.columns) == 119
+    assert rows(wide, "userid", "pointname") == [(1, "p1"), (2, "p1")]
+
+
+def test_the_day_is_filtered_in_every_input(load):
+    plan = exams.answer_wide(load, DT)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(f"= {DT})") == 17
