@@ -165,20 +165,19 @@ RAW: dict[str, Raw] = {
 }
 
 
-def _keys(rows: DataFrame, table: str, form: str = "{}") -> DataFrame:
-    """The raw keys of a log from the rows of its base table."""
-    spec, raw = CLEANED[table], RAW[table]
-    if raw.per_site:
-        rows = rows.withColumn("dn", F.explode(F.array(*(F.lit(s) for s in SITES))))
-    return rows.selectExpr(
-        *(f"{form.format(raw.expr(spec, k))} AS `{k}`" for k in spec.raw_keys)
-    )
+def _rows(base: DataFrame, table: str) -> DataFrame:
+    """The rows behind a log, with its website in the column ``dn``."""
+    if not RAW[table].per_site:
+        return base
+    return base.withColumn("dn", F.explode(F.array(*(F.lit(s) for s in SITES))))
 
 
 def log_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """The raw log behind a cleaned table. A null key is left out of its line."""
-    rows = _keys(spark.read.parquet(f"{sf_dir}/{RAW[table].base}.parquet"), table)
-    return rows.select(F.to_json(F.struct("*")).alias("value"))
+    spec, raw = CLEANED[table], RAW[table]
+    rows = _rows(spark.read.parquet(f"{sf_dir}/{raw.base}.parquet"), table)
+    keys = rows.selectExpr(*(f"{raw.expr(spec, k)} AS `{k}`" for k in spec.raw_keys))
+    return keys.select(F.to_json(F.struct("*")).alias("value"))
 
 
 def ingested(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -195,8 +194,16 @@ def derived_tables(spark: SparkSession, sf_dir: str):
     base = cache(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
     def load(table: str) -> DataFrame:
-        keys = _keys(base(RAW[table].base), table, "CAST({} AS STRING)")
-        return typed(keys, CLEANED[table])
+        spec, raw = CLEANED[table], RAW[table]
+        numbers = [
+            f"coalesce(try_cast({raw.expr(spec, f.key)} AS INT), 0) AS `{f.name}`"
+            for f in spec.fields
+            if f.kind == "i"
+        ]
+        texts = dict.fromkeys(f.key for f in spec.fields if f.kind != "i")
+        texts = [f"CAST({raw.expr(spec, k)} AS STRING) AS `{k}`" for k in texts]
+        rows = _rows(base(raw.base), table).selectExpr(*numbers, *texts)
+        return typed(rows, spec, ready=("i",))
 
     return load
 

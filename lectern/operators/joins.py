@@ -8,15 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only when the side is counted and found small.
+def broadcast_checked(
+    df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 * 2**20
+) -> DataFrame:
+    """Hint a broadcast only when the side is measured and found small.
 
-    Beyond ``max_rows`` the frame is returned without a hint, so the join is
-    planned by size: adaptive execution broadcasts a side that turns out small
-    and splits hot keys of a sort-merge join otherwise. The count of a stored
-    table comes from the Parquet footers.
+    Otherwise the frame is returned without a hint and the join is planned by
+    size: a sort-merge join whose hot keys adaptive execution splits. The count
+    of a stored table comes from the Parquet footers; bytes are summed only over
+    a side with few enough rows.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    if df.count() > max_rows:
+        return df
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
+    return F.broadcast(df) if (size or 0) <= max_bytes else df
 
 
 def one_per_key(

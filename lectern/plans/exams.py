@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import SCORE_EDGES, band
-from ..operators.joins import one_per_key
+from ..operators.joins import broadcast_checked, one_per_key
 from ..operators.ranking import top_levels
 from ..operators.rollups import averages, extremes, member_lists, two_sided
 from ..sources.reads import read
@@ -85,8 +85,7 @@ def answer_wide(load: Load, dt: str, answer_grain: bool = False) -> DataFrame:
     """Answers of a day joined to all five dimensions (119 columns).
 
     The chapter dimension has a row per point and question, so each answer
-    appears once per such row; ``answer_grain`` keeps one row per answer. That
-    join comes last, so nothing after it moves the copies.
+    appears once per such row; ``answer_grain`` keeps one row per answer.
     """
     answers = (
         read(load, "answer", dt)
@@ -109,12 +108,17 @@ def answer_wide(load: Load, dt: str, answer_grain: bool = False) -> DataFrame:
     )
     if answer_grain:
         chapter = one_per_key(chapter, ["chapterid", "dn"], ["pointid"])
+    major = read(load, "major_dim", dt)
+    paper = read(load, "paper_dim", dt).drop("courseid")
+    # dimensions that may be too large to broadcast come first, while rows are
+    # narrow, and of those the one that multiplies rows comes last; courses and
+    # majors are few, which the planner cannot tell of a join not yet stored
     return (
-        answers.join(course, ["sitecourseid", "dn"])
-        .join(read(load, "major_dim", dt), ["majorid", "dn"])
-        .join(read(load, "paper_dim", dt).drop("courseid"), ["paperviewid", "dn"])
+        answers.join(paper, ["paperviewid", "dn"])
         .join(question, ["questionid", "dn"])
         .join(chapter, ["chapterid", "dn"])
+        .join(broadcast_checked(course), ["sitecourseid", "dn"])
+        .join(broadcast_checked(major), ["majorid", "dn"])
     )
 
 

@@ -73,9 +73,16 @@ def _typed(field: Field, phone_variant: str) -> Column | str:
     return c if kind == "i" and field.key == field.name else c.alias(field.name)
 
 
-def typed(raw: DataFrame, spec: TableSpec, phone_variant: str = "eleven") -> DataFrame:
-    """Raw keys as text to the typed columns of a table."""
-    return raw.select([_typed(f, phone_variant) for f in spec.fields])
+def typed(
+    raw: DataFrame, spec: TableSpec, phone_variant: str = "eleven", ready: tuple[str, ...] = ()
+) -> DataFrame:
+    """Raw keys as text to the typed columns of a table.
+
+    Fields of the kinds in ``ready`` are in ``raw`` already, under their names.
+    """
+    return raw.select(
+        [f"`{f.name}`" if f.kind in ready else _typed(f, phone_variant) for f in spec.fields]
+    )
 
 
 def clean(lines: DataFrame, spec: TableSpec) -> DataFrame:
