@@ -37,14 +37,16 @@ def day_increment(payments: DataFrame, vip: DataFrame, dt: str) -> DataFrame:
     ).select(*COLUMNS)
 
 
-def merge_day(open_rows: DataFrame, day: DataFrame) -> DataFrame:
-    """Merge a day into the open versions: those it closes, and the open ones after it.
+def merge_day(versions: DataFrame, day: DataFrame) -> DataFrame:
+    """Merge a day into versions: close those it replaces, add the new ones.
 
-    Only open versions are read. Both inputs hold one row per key, so the join
-    is one to one and no key is hot; it yields one or two versions per key.
+    The end is part of the join key, so only open versions meet the day, at most
+    one per key, and no key is hot. Closed versions pass through; a history that
+    stores them apart gives the open ones alone.
     """
-    old, new = open_rows.alias("old"), day.alias("new")
-    both = old.join(new, [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in KEYS], "full")
+    old, new = versions.alias("old"), day.alias("new")
+    same = [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in KEYS]
+    both = old.join(new, [*same, F.col("old.end_time") == F.col("new.end_time")], "full")
 
     had = F.col("old.start_time").isNotNull()
     got = F.col("new.start_time").isNotNull()
@@ -55,7 +57,7 @@ def merge_day(open_rows: DataFrame, day: DataFrame) -> DataFrame:
     current = (
         F.when(had & got, _version("new", total, F.lit(OPEN_END)))
         .when(got, _version("new", F.col("new.paymoney"), F.lit(OPEN_END)))
-        .otherwise(_version("old", F.col("old.paymoney"), F.lit(OPEN_END)))
+        .otherwise(_version("old", F.col("old.paymoney"), F.col("old.end_time")))
     )
     return both.select(F.inline(F.array_compact(F.array(closed, current))))
 
@@ -80,10 +82,7 @@ def undo_day(history: DataFrame, dt: str) -> DataFrame:
 
 def merge_history(history: DataFrame, day: DataFrame, dt: str) -> DataFrame:
     """A whole history after a day. Merging the same day again changes nothing."""
-    before = undo_day(history, dt)
-    is_open = F.col("end_time") == OPEN_END
-    merged = merge_day(before.where(is_open), day)
-    return before.where(~is_open).select(*COLUMNS).unionByName(merged)
+    return merge_day(undo_day(history, dt), day)
 
 
 def close_versions(versions: DataFrame) -> DataFrame:

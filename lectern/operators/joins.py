@@ -13,15 +13,13 @@ def broadcast_checked(
 ) -> DataFrame:
     """Hint a broadcast only when the side is measured and found small.
 
-    Otherwise the frame is returned without a hint and the join is planned by
-    size: a sort-merge join whose hot keys adaptive execution splits. The count
-    of a stored table comes from the Parquet footers; bytes are summed only over
-    a side with few enough rows.
+    Meant for sides that should be small: it reads the side once. Beyond the
+    bounds the frame is returned without a hint and the join is planned by size,
+    as a sort-merge join whose hot keys adaptive execution splits.
     """
-    if df.count() > max_rows:
-        return df
-    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
-    return F.broadcast(df) if (size or 0) <= max_bytes else df
+    text_size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    rows, size = df.agg(F.count(F.lit(1)), text_size).first()
+    return F.broadcast(df) if rows <= max_rows and (size or 0) <= max_bytes else df
 
 
 def one_per_key(

@@ -12,9 +12,10 @@ from lectern.session import build  # noqa: E402
 def spark(tmp_path_factory):
     session = build(
         "tests",
-        "local[4]",
+        "local[8]",
         **{
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
