@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,14 +29,12 @@ def build(app: str = "lectern", master: str | None = None, **extra: str) -> Spar
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder under the cluster's shared checkpoint folder.
+    """A new folder under the shared folder the cluster names in spark.checkpoint.dir.
 
-    A machine-local folder is used only by a local master, where the driver
-    and its executors are one process.
+    Where that is unset, as in tests, it lies in the warehouse, which every
+    executor of the session writes to as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="lectern-")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
