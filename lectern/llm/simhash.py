@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import small_batches, store
+from lectern.llm.common import free_name, small_batches, store
 from lectern.llm.components import components
 
 SEED = 42
@@ -197,15 +197,21 @@ def near_duplicates(
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with one row of each component: the one with the smallest id.
 
-    Rows that share the smallest id of a component are one document too: of equal
-    ids the row whose text is smallest stays. Columns are those of the input.
+    Of rows with equal ids, and of rows without an id, the first in the order of
+    the table counts as smallest; a null id comes after all others. docs must be a
+    stored table, whose rows can be numbered alike twice. Columns are those of the
+    input.
     """
-    marked = near_duplicates(docs, id_col, text_col)
-    chosen = marked.where(F.col(id_col).eqNullSafe(F.col("component"))).select(
-        F.col(id_col).alias("_kept_id")
+    row = free_name(docs.columns, "row")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    whole = F.struct(
+        F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.col(row).alias("row")
     )
-    kept = docs.join(store(chosen.distinct()), docs[id_col].eqNullSafe(F.col("_kept_id")), "left_semi")
-    return kept
+    marked = near_duplicates(
+        numbered.select(whole.alias("id"), F.col(text_col).alias("text")), "id", "text"
+    )
+    chosen = store(marked.where("id = component").select(F.col("id.row").alias(row)))
+    return numbered.join(chosen, row, "left_semi").select(*docs.columns)
 
 
 def op1_simhash(spark, sf_dir: str) -> DataFrame:
