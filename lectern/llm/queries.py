@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from lectern.llm import sql
 from lectern.llm.simhash import op1_simhash
+from lectern.llm.winnowing import op9_winnowing
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op9_winnowing": op9_winnowing,
 }
 
-SQL: dict[str, str] = {}
+SQL = {
+    "op9_winnowing": sql.OP9,
+}
