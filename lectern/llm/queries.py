@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from lectern.llm import sql
+from lectern.llm.langid import op5_langid
 from lectern.llm.simhash import op1_simhash
 from lectern.llm.winnowing import op9_winnowing
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op5_langid": op5_langid,
     "op9_winnowing": op9_winnowing,
 }
 
