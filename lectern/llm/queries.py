@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from lectern.llm import sql
 from lectern.llm.langid import op5_langid
+from lectern.llm.sharding import op4_sharding
 from lectern.llm.simhash import op1_simhash
 from lectern.llm.winnowing import op9_winnowing
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op4_sharding": op4_sharding,
     "op5_langid": op5_langid,
     "op9_winnowing": op9_winnowing,
 }
 
 SQL = {
+    "op4_sharding": sql.OP4,
     "op9_winnowing": sql.OP9,
 }

@@ -35,3 +35,52 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN p ON d.doc_id = p.doc_id LEFT JOIN n ON d.doc_id = n.doc_id
 """
+
+_ROUND = "CAST('0x' || substr(md5('42:{k}:' || CAST(r AS VARCHAR)), 1, 12) AS BIGINT)"
+
+
+def _network(source: str) -> str:
+    """The four rounds of the network over column y of a source, as nested selects."""
+    kept = "doc_id, size, text_crc32, n, a, b"
+    q = f"SELECT {kept}, y // b AS l, y % b AS r FROM {source}"
+    for k in range(4):
+        shift = f"(l + {_ROUND.format(k=k)}) % {'ab'[k % 2]}"
+        q = f"SELECT {kept}, r AS l, {shift} AS r FROM ({q})"
+    return f"SELECT {kept}, l * b + r AS y FROM ({q})"
+
+
+# DuckDB has no crc32: a table of the reflected polynomial, then one step per byte
+OP4 = f"""
+WITH RECURSIVE t AS (
+  SELECT list(list_reduce(
+           list_prepend(k, CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+           lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+         ) ORDER BY k) AS t
+  FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS k)
+),
+d AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+         xor(4294967295, list_reduce(
+           list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+             regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+             lambda h: CAST('0x' || h AS BIGINT))),
+           lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)])
+         )) AS text_crc32
+  FROM documents, t
+),
+n AS (SELECT count(*) AS n, CAST(floor(sqrt(count(*) - 1)) AS BIGINT) + 1 AS a FROM d),
+s AS (
+  SELECT doc_id, size, text_crc32, n, a, (n + a - 1) // a AS b,
+         row_number() OVER (ORDER BY doc_id, size, text_crc32) - 1 AS y
+  FROM d, n
+),
+w AS (
+  {_network("s")}
+  UNION ALL
+  {_network("(SELECT * FROM w WHERE y >= n)")}
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'rows' AS law,
+       CAST(y % 16 AS INTEGER) AS shard, CAST(y // 16 AS BIGINT) AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard
+FROM w WHERE y < n
+"""
