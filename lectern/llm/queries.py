@@ -6,16 +6,19 @@ from lectern.llm import sql
 from lectern.llm.langid import op5_langid
 from lectern.llm.sharding import op4_sharding
 from lectern.llm.simhash import op1_simhash
+from lectern.llm.warc import op3_warc
 from lectern.llm.winnowing import op9_winnowing
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_warc": op3_warc,
     "op4_sharding": op4_sharding,
     "op5_langid": op5_langid,
     "op9_winnowing": op9_winnowing,
 }
 
 SQL = {
+    "op3_warc": sql.OP3,
     "op4_sharding": sql.OP4,
     "op9_winnowing": sql.OP9,
 }

@@ -84,3 +84,24 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'rows' AS law,
        CAST(NULL AS INTEGER) AS grown_shard
 FROM w WHERE y < n
 """
+
+# base32 of a SHA-1: 40 hexadecimal digits are 32 groups of five bits
+OP3 = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha1(coalesce(html, '')) AS h
+  FROM pages
+),
+b AS (
+  SELECT *, max(page_id) OVER (PARTITION BY h) AS response,
+         list_transform(range(8), lambda k: CAST('0x' || h[5 * k + 1:5 * k + 5] AS BIGINT)) AS five
+  FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda k:
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((five[k // 4 + 1] >> (5 * (3 - k % 4))) & 31) + 1]
+       ), '') AS payload_digest,
+       CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> response THEN response END AS refers_to
+FROM b
+"""
