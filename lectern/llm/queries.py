@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lectern.llm import sql
 from lectern.llm.langid import op5_langid
+from lectern.llm.mixing import op2_mixing
 from lectern.llm.sharding import op4_sharding
 from lectern.llm.simhash import op1_simhash
 from lectern.llm.warc import op3_warc
@@ -11,6 +12,7 @@ from lectern.llm.winnowing import op9_winnowing
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_mixing": op2_mixing,
     "op3_warc": op3_warc,
     "op4_sharding": op4_sharding,
     "op5_langid": op5_langid,
