@@ -7,6 +7,7 @@ from lectern.llm.langid import op5_langid
 from lectern.llm.mixing import op2_mixing
 from lectern.llm.sharding import op4_sharding
 from lectern.llm.simhash import op1_simhash
+from lectern.llm.topk import op7_topk
 from lectern.llm.warc import op3_warc
 from lectern.llm.winnowing import op9_winnowing
 
@@ -16,11 +17,13 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_sharding": op4_sharding,
     "op5_langid": op5_langid,
+    "op7_topk": op7_topk,
     "op9_winnowing": op9_winnowing,
 }
 
 SQL = {
     "op3_warc": sql.OP3,
     "op4_sharding": sql.OP4,
+    "op7_topk": sql.OP7,
     "op9_winnowing": sql.OP9,
 }
