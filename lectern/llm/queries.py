@@ -5,6 +5,7 @@ from __future__ import annotations
 from lectern.llm import sql
 from lectern.llm.langid import op5_langid
 from lectern.llm.mixing import op2_mixing
+from lectern.llm.rollups import op8_rollup
 from lectern.llm.sharding import op4_sharding
 from lectern.llm.simhash import op1_simhash
 from lectern.llm.topk import op7_topk
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_sharding": op4_sharding,
     "op5_langid": op5_langid,
     "op7_topk": op7_topk,
+    "op8_rollup": op8_rollup,
     "op9_winnowing": op9_winnowing,
 }
 
@@ -25,5 +27,6 @@ SQL = {
     "op3_warc": sql.OP3,
     "op4_sharding": sql.OP4,
     "op7_topk": sql.OP7,
+    "op8_rollup": sql.OP8,
     "op9_winnowing": sql.OP9,
 }

@@ -125,3 +125,26 @@ r AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
+
+_PIECE = r"[0-9A-Za-z]+|[^\x00-\x7F]+|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]"
+_WORD = r"[^\x20\x09-\x0D]+"
+
+# what is left after the batches, counted from the surviving texts
+OP8 = f"""
+WITH t AS (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1),
+q AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 0),
+d AS (
+  SELECT source, lang,
+         CASE WHEN q.doc_id IS NULL THEN text ELSE regexp_replace(text, '[0-9]+', '', 'g') END AS text
+  FROM documents LEFT JOIN q ON documents.doc_id = q.doc_id
+  WHERE documents.doc_id NOT IN (SELECT doc_id FROM t WHERE doc_id IS NOT NULL)
+)
+SELECT source, lang, tokenizer, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens
+FROM (
+  SELECT source, lang, 'words-1' AS tokenizer,
+         len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS n FROM d
+  UNION ALL
+  SELECT source, lang, 'pieces-1', len(regexp_extract_all(coalesce(text, ''), '{_PIECE}')) FROM d
+)
+GROUP BY ALL
+"""
