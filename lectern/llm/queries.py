@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lectern.llm import sql
+from lectern.llm.crf import op10_crf
 from lectern.llm.langid import op5_langid
 from lectern.llm.mixing import op2_mixing
 from lectern.llm.rollups import op8_rollup
@@ -21,6 +22,7 @@ QUERIES = {
     "op7_topk": op7_topk,
     "op8_rollup": op8_rollup,
     "op9_winnowing": op9_winnowing,
+    "op10_crf": op10_crf,
 }
 
 SQL = {
