@@ -5,6 +5,7 @@ from __future__ import annotations
 from lectern.llm import sql
 from lectern.llm.crf import op10_crf
 from lectern.llm.langid import op5_langid
+from lectern.llm.maxent import op6_maxent
 from lectern.llm.mixing import op2_mixing
 from lectern.llm.rollups import op8_rollup
 from lectern.llm.sharding import op4_sharding
@@ -19,6 +20,7 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_sharding": op4_sharding,
     "op5_langid": op5_langid,
+    "op6_maxent": op6_maxent,
     "op7_topk": op7_topk,
     "op8_rollup": op8_rollup,
     "op9_winnowing": op9_winnowing,
