@@ -1,0 +1,92 @@
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lectern.llm import maxent
+
+SCHEMA = "doc_id long, text string, score string, train boolean"
+
+
+def corpus():
+    """Two kinds of text whose words tell each other apart."""
+    rng = random.Random(5)
+    kinds = [[f"{s}{k}{e}" for k in range(60)] for s, e in (("a", "um"), ("b", "os"))]
+    rows = [(k, " ".join(rng.choices(kinds[k % 2], k=rng.choice([5, 30, 300]))), "x", k % 5 != 2) for k in range(200)]
+    return rows + [
+        (900, None, "x", False), (901, "", "x", True), (902, "UNSEEN words Aa1um", "x", False),
+        (903, None, "x", None), (904, "é" * 7 + " 語", "x", True), (904, "é" * 7 + " 語", "x", True),
+        (None, "a1um a2um", "x", False), (905, "a1um " * 60000, "x", False),
+    ]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("lm") / "docs.parquet")
+    spark.createDataFrame(corpus(), SCHEMA).repartition(3).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def check_base(rows):
+    counts = Counter()
+    for _, text, _, train in corpus():
+        if train:
+            counts.update([*maxent.words_of(text), b" "])
+    total = sum(counts.values())
+    of_id = {r[0]: r[1] for r in corpus()}
+    for r in rows:
+        tokens = [*maxent.words_of(of_id[r["id"]]), b" "]
+        base = sum(math.log10((counts[w] + 1) / (total + len(counts) + 1)) for w in tokens)
+        assert r["n_tokens"] == len(tokens) and r["train_tokens"] == total
+        assert r["n_known"] == sum(counts[w] > 0 for w in tokens)
+        assert r["base_score"] == pytest.approx(base)
+
+
+@pytest.mark.parametrize("head", [1 << 17, 20])
+def test_scores(spark, docs, monkeypatch, head):
+    monkeypatch.setattr(maxent, "HEAD", head)
+    rows = maxent.score(docs, F.col("train")).collect()
+    assert len(rows) == len(corpus())
+    check_base(rows)
+    # the texts drawn like the training texts
+    held = [r for r in rows if not r["train"] and r["n_tokens"] > 20 and r["id"] < 900]
+    assert len(held) > 20 and all(r["score"] > r["base_score"] for r in held)
+    again = maxent.score(docs, F.col("train")).collect()
+    assert [r["score"] for r in again] == pytest.approx([r["score"] for r in rows], rel=1e-4)
+
+
+def test_next_word_probabilities_add_up(spark, docs):
+    """Over all known words and one unseen word per class, whatever the context."""
+    model, _ = maxent.fit(docs.where("train").select("text", F.lit(0).alias("part")), rounds=1)
+    ids, classes, _, sizes = next(model.encode(["a1um b2os a3um a4um"]))
+    where, _ = model.positions(sizes)
+    logit = model.logits(model.features(ids, classes, where), model.weights).astype(float)
+    p = np.exp(logit - logit.max(axis=1, keepdims=True))
+    p /= p.sum(axis=1, keepdims=True)
+    share = np.bincount(model.classes, weights=model.counts + 1, minlength=maxent.CLASSES) + 1
+    assert p @ (share / model.sizes) == pytest.approx(np.ones(len(where)))
+
+
+def test_training_lowers_the_loss(spark, docs):
+    texts = docs.where("train").select("text", F.lit(0).alias("part"))
+    model, _ = maxent.fit(texts, rounds=1)
+    some = [r["text"] for r in texts.limit(50).collect()]
+    trained = sum(x[3] for x in model.score(some))
+    model.weights = np.zeros_like(model.weights)
+    assert trained > sum(x[3] for x in model.score(some))
+
+
+def test_suffix_classes_agree(spark):
+    words = ["a", "ab", "abc", "straße", "語", "x語", "𝒳𝒴𝒵", "1"]
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    got = [r[0] for r in df.select(maxent.suffix_class(F.col("word"))).collect()]
+    assert got == [maxent.suffix_class_of(w.encode()) for w in words]
+
+
+def test_no_training_rows_and_no_rows(spark, docs):
+    rows = maxent.score(docs, F.lit(False)).collect()
+    assert {(r["n_known"], r["train_tokens"], r["base_score"]) for r in rows} == {(0, 0, 0.0)}
+    assert maxent.score(docs.where("false"), F.col("train")).count() == 0

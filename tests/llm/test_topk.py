@@ -1,0 +1,62 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lectern.llm import topk
+
+
+def brute(rows, k):
+    out = []
+    for n, (q, qv) in enumerate(rows):
+        if q is None or q % 5 or qv is None:
+            continue
+        found = [
+            (-sum(a * b for a, b in zip(qv, v)), i is None, i or 0, m)
+            for m, (i, v) in enumerate(rows)
+            if m != n and v is not None and len(v) == len(qv)
+        ]
+        out += [(q, r + 1, None if no else i, -s) for r, (s, no, i, _) in enumerate(sorted(found)[:k])]
+    return sorted(out, key=repr)
+
+
+def vectors(seed, dim=10, big=1):
+    rng = np.random.default_rng(seed)
+    rows = [(int(i), [int(x) * big for x in rng.integers(-6, 7, dim)]) for i in range(160)]
+    rows += [(200 + i, rows[0][1]) for i in range(30)]  # ties
+    rows += [(15, rows[3][1]), (15, rows[3][1]), (None, rows[4][1]), (300, None), (305, [1, 2]), (306, [2, 1]), (310, [])]
+    return rows
+
+
+@pytest.mark.parametrize("big", [1, 40_000_000])
+@pytest.mark.parametrize("slice_rows", [4096, 25])
+def test_against_all_scores(spark, monkeypatch, slice_rows, big):
+    monkeypatch.setattr(topk, "SLICE_ROWS", slice_rows)
+    monkeypatch.setattr(topk, "GROUP_ROWS", slice_rows)
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    rows = vectors(1, big=big)
+    df = spark.createDataFrame(rows, "id long, vector array<long>").coalesce(1)
+    got = topk.top_k(df, F.col("id") % 5 == 0, 7).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(rows, 7)
+
+
+def test_bounds_never_rule_out():
+    rng = np.random.default_rng(4)
+    a, b = rng.normal(size=(40, 30)) * 50, rng.normal(size=(60, 30)) * 50
+    exact = ((a[:, None] - b[None]) ** 2).sum(axis=2)
+    for n in (16, 4, 1):
+        bound = topk.lower_bounds(
+            topk.statistics(a, n), topk.statistics(b, n), (a**2).sum(1), (b**2).sum(1)
+        )
+        assert (bound <= exact).all()
+
+
+def test_scaling(spark):
+    rows = [(1, [0.5, -0.01]), (2, [1.0, None]), (3, [float("nan"), 1.0]), (4, [float("inf"), 0.0]), (5, None), (6, [])]
+    df = spark.createDataFrame(rows, "id long, e array<float>")
+    got = {r[0]: r[1] for r in df.select("id", topk.scaled(F.col("e"))).collect()}
+    assert got == {1: [32, -1], 2: None, 3: None, 4: None, 5: None, 6: []}
+
+
+def test_empty(spark):
+    none = spark.createDataFrame([], "id long, vector array<long>")
+    assert topk.top_k(none, F.col("id") % 20 == 0).count() == 0
