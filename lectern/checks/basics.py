@@ -83,8 +83,10 @@ def dim_inner(spark, d):
 
 
 def dim_mixed(spark, d):
-    """Line items with their supplier if its balance is positive, and their part."""
-    paid = _t(spark, d, "supplier").where(F.col("s_acctbal") > 0)
+    """Line items with their part, and their supplier if its balance is positive."""
+    paid = _t(spark, d, "supplier").withColumn(
+        "s_suppkey", F.when(F.col("s_acctbal") > 0, F.col("s_suppkey"))
+    )
     return (
         _t(spark, d, "lineitem")
         .join(_t(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -266,7 +268,7 @@ SQL = {
         FROM events""",
     "round_score": """
         SELECT o_orderkey, CAST(ROUND(CAST(o_totalprice / 100 AS DECIMAL(20,10)), 1)
-            AS DECIMAL(5,1)) AS score
+            AS DECIMAL(22,1)) AS score
         FROM orders""",
     "wide_left": """
         SELECT c_custkey, c_name, n_name, r_name, spent, top_priority, first_order
@@ -283,7 +285,7 @@ SQL = {
     "dim_mixed": """
         SELECT l_orderkey, l_linenumber, l_partkey, p_brand, s_name, n_name FROM lineitem
         JOIN part ON l_partkey = p_partkey
-        LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) s ON l_suppkey = s_suppkey
+        LEFT JOIN supplier ON l_suppkey = s_suppkey AND s_acctbal > 0
         LEFT JOIN nation ON s_nationkey = n_nationkey""",
     "star_wide": """
         SELECT l_orderkey, l_linenumber, l_partkey, p_name, s_name, c_name, o_orderpriority,

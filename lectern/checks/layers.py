@@ -42,7 +42,8 @@ def _with(sql: str, *tables: str, **ctes: str) -> str:
 
 
 def _on(alias: str, other: str, *keys: str) -> str:
-    return " AND ".join(f"{alias}.{k} = {other}.{k}" for k in (*keys, "dn"))
+    ids = "".join(f" AND {other}.{k} <> 0" for k in keys)
+    return " AND ".join(f"{alias}.{k} = {other}.{k}" for k in (*keys, "dn")) + ids
 
 
 # ingest: one query per cleaned table
@@ -189,7 +190,7 @@ _MEMBER_JOINS = f"""LEFT JOIN dwd_base_ad c ON a.ad_id = c.adid AND a.dn = c.dn
 _FIRST_REG = """SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY uid, dn
     ORDER BY createtime, appkey, appregurl, bdp_uuid) AS rn FROM dwd_member_regtype) WHERE rn = 1"""
 _PAID = """SELECT e.uid, e.dn,
-        CAST(SUM(CAST(e.paymoney AS DECIMAL(10,4))) AS DECIMAL(20,4)) AS paymoney,
+        CAST(SUM(CAST(e.paymoney AS DECIMAL(20,4))) AS DECIMAL(38,4)) AS paymoney,
         MIN(f.vip_id) AS vip_id, MAX(f.vip_level) AS vip_level, MIN(f.start_time) AS vip_start_time,
         MAX(f.end_time) AS vip_end_time, MAX(f.last_modify_time) AS vip_last_modify_time,
         ARG_MIN(f.max_free, f.vip_id) AS vip_max_free,
@@ -221,7 +222,7 @@ SQL["wide_member_fan_out"] = _with(
     paid=_PAID,
     # the sum over rows that are really joined
     summed=f"""SELECT a.uid, a.dn,
-            CAST(SUM(CAST(e.paymoney AS DECIMAL(10,4))) AS DECIMAL(20,4)) AS paymoney
+            CAST(SUM(CAST(e.paymoney AS DECIMAL(20,4))) AS DECIMAL(38,4)) AS paymoney
         FROM dwd_member a LEFT JOIN dwd_member_regtype b ON {_on('a', 'b', 'uid')}
         LEFT JOIN dwd_pcentermempaymoney e ON {_on('a', 'e', 'uid')} {_MEMBER_JOINS}
         LEFT JOIN dwd_vip_level f ON e.vip_id = f.vip_id AND e.dn = f.dn GROUP BY a.uid, a.dn""",
@@ -230,14 +231,17 @@ SQL["wide_member_fan_out"] = _with(
 QUERIES["wide_member_rows"] = lambda spark, d: members.member_rows(_layers(spark, d), DT)
 SQL["wide_member_rows"] = _with(
     f"""SELECT a.uid, a.dt, a.dn, {_MEMBER_COLUMNS}, b.websiteid AS siteid, {_SITE_COLUMNS},
-        CAST(e.paymoney AS DECIMAL(10,4)) AS paymoney, e.vip_id, f.vip_level,
+        e.paymoney, e.vip_id, f.vip_level,
         f.start_time AS vip_start_time, f.end_time AS vip_end_time,
         f.last_modify_time AS vip_last_modify_time, f.max_free AS vip_max_free,
         f.min_free AS vip_min_free, f.next_level AS vip_next_level, f.operator AS vip_operator
     FROM dwd_member a LEFT JOIN dwd_member_regtype b ON {_on('a', 'b', 'uid')}
-    LEFT JOIN dwd_pcentermempaymoney e ON {_on('a', 'e', 'uid')} {_MEMBER_JOINS}
+    LEFT JOIN e ON {_on('a', 'e', 'uid')} {_MEMBER_JOINS}
     LEFT JOIN dwd_vip_level f ON e.vip_id = f.vip_id AND e.dn = f.dn""",
     *_MEMBER_INPUTS,
+    e="""SELECT uid, dn, vip_id,
+            CAST(SUM(CAST(paymoney AS DECIMAL(20,4))) AS DECIMAL(38,4)) AS paymoney
+        FROM dwd_pcentermempaymoney GROUP BY uid, dn, vip_id""",
 )
 
 # member reports
@@ -266,9 +270,9 @@ for _column in members.COUNT_REPORTS.values():
 def _top_payers_sql(columns: str) -> str:
     return _with(
         f"""SELECT * FROM (SELECT {columns}, dn,
-            TRY_CAST(paymoney AS DECIMAL(10,4)) AS paymoney,
+            paymoney,
             CAST(ROW_NUMBER() OVER (PARTITION BY dn, memberlevel
-                ORDER BY TRY_CAST(paymoney AS DECIMAL(10,4)) DESC NULLS LAST, uid)
+                ORDER BY paymoney DESC NULLS LAST, uid)
                 AS INTEGER) AS rownum
         FROM w) WHERE rownum < 4""",
         *_MEMBER_INPUTS,
@@ -292,14 +296,14 @@ SQL["top3_payers_wider"] = _top_payers_sql(", ".join(_WIDER))
 
 # history of payments
 
-_MONEY = "CAST(SUM(CAST(e.paymoney AS DECIMAL(10,4))) AS DECIMAL(20,4))"
+_MONEY = "CAST(SUM(CAST(e.paymoney AS DECIMAL(20,4))) AS DECIMAL(38,4))"
 _DAY = "SUBSTR(e.dt, 1, 4) || '-' || SUBSTR(e.dt, 5, 2) || '-' || SUBSTR(e.dt, 7, 2)"
 _INCREMENTS = f"""SELECT e.uid, e.dn, {_MONEY} AS paymoney, MAX(f.vip_level) AS vip_level,
         {_DAY} AS start_time
     FROM dwd_pcentermempaymoney e JOIN dwd_vip_level f ON e.vip_id = f.vip_id AND e.dn = f.dn
     GROUP BY e.uid, e.dn, e.dt"""
 _HISTORY_SQL = _with(
-    """SELECT uid, CAST(SUM(paymoney) OVER v AS DECIMAL(20,4)) AS paymoney, vip_level, start_time,
+    """SELECT uid, CAST(SUM(paymoney) OVER v AS DECIMAL(38,4)) AS paymoney, vip_level, start_time,
         COALESCE(LEAD(start_time) OVER v, '9999-12-31') AS end_time, dn
     FROM i WINDOW v AS (PARTITION BY uid, dn ORDER BY start_time)""",
     "dwd_pcentermempaymoney",
@@ -425,9 +429,9 @@ _AVERAGES = _exam_sql(
     """SELECT paperviewid, paperviewname,
         -- five decimals first, as an average of one-decimal scores is kept, then one
         CAST(((SUM(CAST(score * 10 AS BIGINT))::BIGINT * 20000 + COUNT(score))
-            // (2 * COUNT(score)) + 5000) // 10000 / 10.0 AS DECIMAL(4,1)) AS avgscore,
+            // (2 * COUNT(score)) + 5000) // 10000 / 10.0 AS DECIMAL(22,1)) AS avgscore,
         CAST((SUM(spendtime)::BIGINT * 200 + COUNT(*)) // (2 * COUNT(*)) / 100.0
-            AS DECIMAL(10,2)) AS avgspendtime, dt, dn
+            AS DECIMAL(12,2)) AS avgspendtime, dt, dn
     FROM w GROUP BY paperviewid, paperviewname, dt, dn"""
 )
 QUERIES["paper_averages"] = _exam_report(exams.paper_averages)
@@ -437,8 +441,8 @@ SQL["paper_averages_sorted"] = _AVERAGES
 
 QUERIES["paper_extremes"] = _exam_report(exams.paper_extremes)
 SQL["paper_extremes"] = _exam_sql(
-    """SELECT paperviewid, paperviewname, CAST(MAX(score) AS DECIMAL(4,1)) AS maxscore,
-        CAST(MIN(score) AS DECIMAL(4,1)) AS minscore, dt, dn
+    """SELECT paperviewid, paperviewname, CAST(MAX(score) AS DECIMAL(22,1)) AS maxscore,
+        CAST(MIN(score) AS DECIMAL(22,1)) AS minscore, dt, dn
     FROM w GROUP BY paperviewid, paperviewname, dt, dn"""
 )
 
@@ -545,7 +549,7 @@ def _read_sql(name: str) -> str:
         names.update({c: head + c for c in cols.split()})
     if spec.keep:
         cols = ", ".join(
-            f'CAST({c} AS DECIMAL(10,4)) AS {c}' if c == spec.money
+            f'CAST({c} AS DECIMAL(20,4)) AS {c}' if c == spec.money
             else f'"{c}" AS {names.get(c, c)}'
             for c in spec.keep.split()
         )
@@ -555,7 +559,7 @@ def _read_sql(name: str) -> str:
         cols = ", ".join([star, *(f'"{c}" AS {n}' for c, n in names.items())])
     if spec.table == "dws_member":
         return _with(
-            f"SELECT {cols} FROM w".replace("CAST(paymoney", "TRY_CAST(paymoney"),
+            f"SELECT {cols} FROM w",
             *_MEMBER_INPUTS,
             **_REPORT_ROWS,
         )

@@ -60,9 +60,9 @@ RAW: dict[str, Raw] = {
         },
         per_site=False,
     ),
-    "dwd_base_ad": Raw("nation", "n_nationkey", {"adname": "n_name"}),
+    "dwd_base_ad": Raw("nation", "n_nationkey + 1", {"adname": "n_name"}),
     "dwd_base_website": Raw(
-        "nation", "n_nationkey", {"sitename": "n_name", "delete": "n_regionkey"}
+        "nation", "n_nationkey + 1", {"sitename": "n_name", "delete": "n_regionkey"}
     ),
     "dwd_member_regtype": Raw(
         "orders",
@@ -72,7 +72,7 @@ RAW: dict[str, Raw] = {
             "appregurl": "'url ' || o_orderstatus",
             "createtime": "CAST(o_orderdate AS STRING)",
             "regsource": "SUBSTR(o_orderpriority, 1, 1)",
-            "websiteid": "o_custkey % 30",
+            "websiteid": "o_custkey % 30 + 1",
             "dn": _MEMBER_SITE.format("o_custkey"),
         },
         per_site=False,
@@ -90,17 +90,17 @@ RAW: dict[str, Raw] = {
         },
         per_site=False,
     ),
-    "dwd_vip_level": Raw("region", "r_regionkey", {"vip_level": "r_name"}),
-    "dwd_qz_website": Raw("nation", "n_nationkey", {"sitename": "n_name"}),
+    "dwd_vip_level": Raw("region", "r_regionkey + 1", {"vip_level": "r_name"}),
+    "dwd_qz_website": Raw("nation", "n_nationkey + 1", {"sitename": "n_name"}),
     "dwd_qz_site_course": Raw("supplier", "s_suppkey", {"sitecoursename": "s_name"}),
     "dwd_qz_question_type": Raw(
-        "nation", "n_nationkey", {"questypeid": "n_nationkey", "viewtypename": "n_name"}
+        "nation", "n_nationkey + 1", {"questypeid": "n_nationkey + 1", "viewtypename": "n_name"}
     ),
     "dwd_qz_question": Raw(
         "part",
         "p_partkey",
         {
-            "questypeid": "p_size % 30",
+            "questypeid": "p_size % 30 + 1",
             "content": "p_name",
             "score": "CAST(p_retailprice AS DECIMAL(12,2)) / CAST(8 AS DECIMAL(2,0))",
             "splitscore": "CAST(NULL AS DECIMAL(5,2))",
@@ -151,17 +151,17 @@ RAW: dict[str, Raw] = {
         per_site=False,
     ),
     "dwd_qz_major": Raw(
-        "nation", "n_nationkey", {"businessid": "n_regionkey", "majorname": "n_name"}
+        "nation", "n_nationkey + 1", {"businessid": "n_regionkey + 1", "majorname": "n_name"}
     ),
     "dwd_qz_course_edusubject": Raw("supplier", "s_suppkey"),
     "dwd_qz_course": Raw("supplier", "s_suppkey", {"coursename": "s_name"}),
-    "dwd_qz_chapter_list": Raw("region", "r_regionkey", {"chapterlistname": "r_name"}),
+    "dwd_qz_chapter_list": Raw("region", "r_regionkey + 1", {"chapterlistname": "r_name"}),
     "dwd_qz_chapter": Raw(
-        "part", "p_partkey", {"chapterlistid": "p_partkey % 5", "chaptername": "p_name"}
+        "part", "p_partkey", {"chapterlistid": "p_partkey % 5 + 1", "chaptername": "p_name"}
     ),
-    "dwd_qz_center_paper": Raw("supplier", "s_suppkey", {"centerid": "s_nationkey"}),
-    "dwd_qz_center": Raw("nation", "n_nationkey", {"centername": "n_name"}),
-    "dwd_qz_business": Raw("region", "r_regionkey", {"businessname": "r_name"}),
+    "dwd_qz_center_paper": Raw("supplier", "s_suppkey", {"centerid": "s_nationkey + 1"}),
+    "dwd_qz_center": Raw("nation", "n_nationkey + 1", {"centername": "n_name"}),
+    "dwd_qz_business": Raw("region", "r_regionkey + 1", {"businessname": "r_name"}),
 }
 
 
@@ -211,7 +211,7 @@ def derived_tables(spark: SparkSession, sf_dir: str):
 _EXPECTED = {
     "i": "COALESCE(TRY_CAST({} AS INTEGER), 0)",
     "s": "CAST({} AS VARCHAR)",
-    "d1": "CAST(ROUND(CAST({} AS DECIMAL(28,10)), 1) AS DECIMAL(5,1))",
+    "d1": "CAST(ROUND(CAST({} AS DECIMAL(28,10)), 1) AS DECIMAL(22,1))",
     "name": "SUBSTR({}, 1, 1) || 'XX'",
     "phone": "SUBSTR({0}, 1, 3) || '*****' || SUBSTR({0}, 8, 4)",
     "secret": "'******'",

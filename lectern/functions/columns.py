@@ -12,6 +12,9 @@ PASSWORD_MASK = "******"
 OPEN_END = "9999-12-31"
 PLATFORMS = {"1": "PC", "2": "Mobile", "3": "App", "4": "WeChat"}
 OTHER_PLATFORM = "other"
+# types that hold whatever a log can hold: sums of money, and rounded scores
+MONEY_SUM = "decimal(38,4)"
+SCORE = "decimal(22,1)"
 SCORE_EDGES = (0, 20, 40, 60, 80, 100)
 
 
@@ -41,22 +44,25 @@ def label(c: Column, names: Mapping[str, str], default: str) -> Column:
 def whole_number(name: str) -> Column:
     """A text column to int as a lenient log reader does.
 
-    Fractions are cut; null and anything unreadable is 0.
+    Fractions are cut; null and anything unreadable is 0. A number beyond the
+    range of int is null, so that it is not taken for a missing one.
     """
     text = f"trim(`{name}`)"
+    beyond = f"abs(try_cast({text} AS DOUBLE)) BETWEEN 2147483648D AND 1.7976931348623157E308D"
     return F.expr(
         f"coalesce(try_cast({text} AS INT),"
-        f" try_cast(try_cast({text} AS DECIMAL(38,18)) AS INT), 0) AS `{name}`"
+        f" try_cast(try_cast({text} AS DECIMAL(38,18)) AS INT),"
+        f" if({beyond}, NULL, 0)) AS `{name}`"
     )
 
 
 def round_score(c: Column) -> Column:
     """Text or number to one decimal place, half up; null when missing or unreadable."""
-    return F.round(c.try_cast("decimal(38,18)"), 1).try_cast("decimal(5,1)")
+    return F.round(c.try_cast("decimal(38,18)"), 1).cast(SCORE)
 
 
 def money(c: Column) -> Column:
-    return c.try_cast("decimal(10,4)")
+    return c.try_cast("decimal(20,4)")
 
 
 def rate(part: Column, whole: Column) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import OPEN_END, iso_date, money
+from ..functions.columns import MONEY_SUM, OPEN_END, iso_date, money
 
 KEYS = ("uid", "dn")
 COLUMNS = ("uid", "paymoney", "vip_level", "start_time", "end_time", "dn")
@@ -20,7 +20,7 @@ def day_increment(payments: DataFrame, vip: DataFrame, dt: str) -> DataFrame:
     """One open version per (uid, dn) from the payments of a day.
 
     Payments are summed per level before the join, so the join sees one row per
-    member and level.
+    member and level. A payment that cannot be read adds nothing.
     """
     paid = (
         payments.where(F.col("dt") == F.lit(dt))
@@ -29,7 +29,7 @@ def day_increment(payments: DataFrame, vip: DataFrame, dt: str) -> DataFrame:
     )
     joined = paid.join(vip.select("vip_id", "dn", "vip_level"), ["vip_id", "dn"])
     per_member = joined.groupBy("uid", "dn").agg(
-        F.sum("_paid").cast("decimal(20,4)").alias("paymoney"),
+        F.coalesce(F.sum("_paid"), F.lit(0)).cast(MONEY_SUM).alias("paymoney"),
         F.max("vip_level").alias("vip_level"),
     )
     return per_member.withColumns(
@@ -50,7 +50,8 @@ def merge_day(versions: DataFrame, day: DataFrame) -> DataFrame:
 
     had = F.col("old.start_time").isNotNull()
     got = F.col("new.start_time").isNotNull()
-    total = F.col("new.paymoney") + F.when(had, F.col("old.paymoney")).otherwise(0)
+    zero = F.lit(0)
+    total = F.coalesce("new.paymoney", zero) + F.coalesce("old.paymoney", zero)
     closed = F.when(
         had & got, _version("old", F.col("old.paymoney"), F.col("new.start_time"))
     )
@@ -65,7 +66,7 @@ def merge_day(versions: DataFrame, day: DataFrame) -> DataFrame:
 def _version(side: str, paymoney: Column, end_time: Column) -> Column:
     return F.struct(
         F.col(f"{side}.uid").alias("uid"),
-        paymoney.cast("decimal(20,4)").alias("paymoney"),
+        paymoney.cast(MONEY_SUM).alias("paymoney"),
         F.col(f"{side}.vip_level").alias("vip_level"),
         F.col(f"{side}.start_time").alias("start_time"),
         end_time.alias("end_time"),
@@ -102,10 +103,10 @@ def close_versions(versions: DataFrame) -> DataFrame:
     )
     last = (F.col("_rn") == F.col("_n")) & (F.col("_before_end") == OPEN_END)
     second = (F.col("_rn") == F.col("_n") - 1) & (F.col("end_time") == OPEN_END)
-    paid = F.when(last, F.col("paymoney") + F.coalesce("_before_paid", F.lit(0)))
+    paid = F.when(last, F.coalesce("paymoney", F.lit(0)) + F.coalesce("_before_paid", F.lit(0)))
     return numbered.select(
         "uid",
-        paid.otherwise(F.col("paymoney")).cast("decimal(20,4)").alias("paymoney"),
+        paid.otherwise(F.col("paymoney")).cast(MONEY_SUM).alias("paymoney"),
         "vip_level",
         "start_time",
         F.when(second, F.col("_after_start")).otherwise(F.col("end_time")).alias("end_time"),

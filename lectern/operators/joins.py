@@ -8,18 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_checked(
-    df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 * 2**20
-) -> DataFrame:
-    """Hint a broadcast only when the side is measured and found small.
+def known(df: DataFrame, *ids: str) -> DataFrame:
+    """Rows whose ids are known; 0 stands for one that was missing or unreadable.
 
-    Meant for sides that should be small: it reads the side once. Beyond the
-    bounds the frame is returned without a hint and the join is planned by size,
-    as a sort-merge join whose hot keys adaptive execution splits.
+    Taken on one side of a join, it keeps broken records from meeting each other.
     """
-    text_size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
-    rows, size = df.agg(F.count(F.lit(1)), text_size).first()
-    return F.broadcast(df) if rows <= max_rows and (size or 0) <= max_bytes else df
+    for name in ids:
+        df = df.where(F.col(name) != 0)
+    return df
 
 
 def one_per_key(
@@ -28,7 +24,8 @@ def one_per_key(
     """The first row of every key by ``order``, then by the remaining columns.
 
     An aggregate, not a window: each task keeps one row per key before the
-    shuffle, so a key with very many rows stays cheap.
+    shuffle, so a key with very many rows stays cheap. Rows are sorted by key in
+    each task for it, which spills; a minimum of rows cannot be hashed.
     """
     rest = [c for c in df.columns if c not in keys]
     ordered = [*order, *(c for c in rest if c not in order)]

@@ -7,8 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import SCORE_EDGES, band
-from ..operators.joins import broadcast_checked, one_per_key
+from ..functions.columns import SCORE, SCORE_EDGES, band
+from ..operators.joins import known, one_per_key
 from ..operators.ranking import top_levels
 from ..operators.rollups import averages, extremes, member_lists, two_sided
 from ..sources.reads import read
@@ -30,9 +30,9 @@ def chapter_dim(load: Load, dt: str) -> DataFrame:
     """Chapter x point x question."""
     return (
         read(load, "chapter", dt)
-        .join(read(load, "chapter_list", dt), ["chapterlistid", "dn"])
-        .join(read(load, "point", dt), ["chapterid", "dn"])
-        .join(read(load, "point_question", dt), ["pointid", "dn"])
+        .join(known(read(load, "chapter_list", dt), "chapterlistid"), ["chapterlistid", "dn"])
+        .join(known(read(load, "point", dt), "chapterid"), ["chapterid", "dn"])
+        .join(known(read(load, "point_question", dt), "pointid"), ["pointid", "dn"])
     )
 
 
@@ -40,16 +40,17 @@ def course_dim(load: Load, dt: str) -> DataFrame:
     """Site course x subject. All three inputs are taken from the day."""
     return (
         read(load, "site_course", dt)
-        .join(read(load, "course", dt), ["courseid", "dn"])
-        .join(read(load, "course_edusubject", dt), ["courseid", "dn"])
+        .join(known(read(load, "course", dt), "courseid"), ["courseid", "dn"])
+        .join(known(read(load, "course_edusubject", dt), "courseid"), ["courseid", "dn"])
     )
 
 
 def major_dim(load: Load, dt: str) -> DataFrame:
+    website = read(load, "website", dt).drop("creator", "createtime")
     return (
         read(load, "major", dt)
-        .join(read(load, "website", dt).drop("creator", "createtime"), ["siteid", "dn"])
-        .join(read(load, "business", dt), ["businessid", "dn"])
+        .join(known(website, "siteid"), ["siteid", "dn"])
+        .join(known(read(load, "business", dt), "businessid"), ["businessid", "dn"])
     )
 
 
@@ -58,15 +59,16 @@ def paper_dim(load: Load, dt: str) -> DataFrame:
     view = read(load, "paper_view", dt).drop("papertype", "downurl")
     # the inner join comes first: it only removes rows, the left joins only add
     return (
-        view.join(read(load, "paper", dt).drop("chapter"), ["paperid", "dn"])
-        .join(read(load, "center_paper", dt), ["paperviewid", "dn"], "left")
-        .join(read(load, "center", dt).drop("centerparam"), ["centerid", "dn"], "left")
+        view.join(known(read(load, "paper", dt).drop("chapter"), "paperid"), ["paperid", "dn"])
+        .join(known(read(load, "center_paper", dt), "paperviewid"), ["paperviewid", "dn"], "left")
+        .join(known(read(load, "center", dt).drop("centerparam"), "centerid"), ["centerid", "dn"], "left")
     )
 
 
 def question_dim(load: Load, dt: str) -> DataFrame:
     """Questions with the texts of their type, its description included."""
-    return read(load, "question", dt).join(read(load, "question_type", dt), ["questypeid", "dn"])
+    types = known(read(load, "question_type", dt), "questypeid")
+    return read(load, "question", dt).join(types, ["questypeid", "dn"])
 
 
 DIMENSIONS = {
@@ -112,13 +114,13 @@ def answer_wide(load: Load, dt: str, answer_grain: bool = False) -> DataFrame:
     paper = read(load, "paper_dim", dt).drop("courseid")
     # dimensions that may be too large to broadcast come first, while rows are
     # narrow, and of those the one that multiplies rows comes last; courses and
-    # majors are few, which the planner cannot tell of a join not yet stored
+    # majors are few and are broadcast by the size of their files
     return (
-        answers.join(paper, ["paperviewid", "dn"])
-        .join(question, ["questionid", "dn"])
-        .join(chapter, ["chapterid", "dn"])
-        .join(broadcast_checked(course), ["sitecourseid", "dn"])
-        .join(broadcast_checked(major), ["majorid", "dn"])
+        answers.join(known(paper, "paperviewid"), ["paperviewid", "dn"])
+        .join(known(question, "questionid"), ["questionid", "dn"])
+        .join(known(chapter, "chapterid"), ["chapterid", "dn"])
+        .join(known(course, "sitecourseid"), ["sitecourseid", "dn"])
+        .join(known(major, "majorid"), ["majorid", "dn"])
     )
 
 
@@ -133,13 +135,13 @@ def paper_averages(rows: DataFrame, ordered: bool = False) -> DataFrame:
     out = averages(
         rows,
         PAPER_KEYS,
-        {"avgscore": ("score", "decimal(4,1)"), "avgspendtime": ("spendtime", "decimal(10,2)")},
+        {"avgscore": ("score", SCORE), "avgspendtime": ("spendtime", "decimal(12,2)")},
     ).select("paperviewid", "paperviewname", "avgscore", "avgspendtime", "dt", "dn")
     return out.orderBy(F.desc("avgscore"), F.desc("avgspendtime")) if ordered else out
 
 
 def paper_extremes(rows: DataFrame) -> DataFrame:
-    return extremes(rows, PAPER_KEYS, "score", "maxscore", "minscore", "decimal(4,1)").select(
+    return extremes(rows, PAPER_KEYS, "score", "maxscore", "minscore", SCORE).select(
         "paperviewid", "paperviewname", "maxscore", "minscore", "dt", "dn"
     )
 

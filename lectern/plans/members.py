@@ -7,7 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import broadcast_checked, one_per_key
+from ..functions.columns import MONEY_SUM
+from ..operators.joins import known, one_per_key
 from ..operators.ranking import top_rows
 from ..operators.rollups import count_by
 from ..sources.reads import read
@@ -37,14 +38,24 @@ COUNT_REPORTS = {
 
 
 def member_rows(load: Load, dt: str) -> DataFrame:
-    """Members of a day left-joined to all they refer to, one row per combination."""
+    """Members of a day left-joined to all they refer to.
+
+    One row per registration and VIP level paid for: payments are summed per
+    level before the join, so a member with many of both does not get them all
+    against each other.
+    """
     member = read(load, "member").where(F.col("dt") == F.lit(dt))
+    paid = (
+        known(read(load, "payments"), "uid")
+        .groupBy("uid", "dn", "vip_id")
+        .agg(F.sum("paymoney").cast(MONEY_SUM).alias("paymoney"))
+    )
     return (
-        member.join(read(load, "member_regtype"), ["uid", "dn"], "left")
-        .join(read(load, "payments"), ["uid", "dn"], "left")
-        .join(broadcast_checked(read(load, "base_ad")), ["ad_id", "dn"], "left")
-        .join(broadcast_checked(read(load, "base_website")), ["siteid", "dn"], "left")
-        .join(broadcast_checked(read(load, "vip_level")), ["vip_id", "dn"], "left")
+        member.join(known(read(load, "member_regtype"), "uid"), ["uid", "dn"], "left")
+        .join(paid, ["uid", "dn"], "left")
+        .join(known(read(load, "base_ad"), "ad_id"), ["ad_id", "dn"], "left")
+        .join(known(read(load, "base_website"), "siteid"), ["siteid", "dn"], "left")
+        .join(known(read(load, "vip_level"), "vip_id"), ["vip_id", "dn"], "left")
         .select(*WIDE_COLUMNS)
     )
 
@@ -58,9 +69,9 @@ def member_wide(load: Load, dt: str, fan_out: bool = False) -> DataFrame:
     sum over the joined rows would, without making those rows.
     """
     member = read(load, "member").where(F.col("dt") == F.lit(dt)).drop("dt", "email")
-    reg = read(load, "member_regtype")
-    ads = read(load, "base_ad")
-    sites = read(load, "base_website")
+    reg = known(read(load, "member_regtype"), "uid")
+    ads = known(read(load, "base_ad"), "ad_id")
+    sites = known(read(load, "base_website"), "siteid")
 
     wide = (
         one_per_key(member, ["uid", "dn"], ["register"])
@@ -74,21 +85,22 @@ def member_wide(load: Load, dt: str, fan_out: bool = False) -> DataFrame:
         wide = (
             wide.join(copies, ["uid", "dn"], "left")
             .join(visits, ["uid", "dn"], "left")
-            .withColumn("paymoney", (F.col("paymoney") * times).cast("decimal(20,4)"))
+            .withColumn("paymoney", (F.col("paymoney") * times).cast(MONEY_SUM))
         )
     wide = wide.join(one_per_key(ads, ["ad_id", "dn"]), ["ad_id", "dn"], "left")
     # a site that is not in the base table stays null
-    known = one_per_key(sites, ["siteid", "dn"]).withColumn("_known", F.col("siteid"))
-    wide = wide.join(known, ["siteid", "dn"], "left").withColumn("siteid", F.col("_known"))
+    listed = one_per_key(sites, ["siteid", "dn"]).withColumn("_known", F.col("siteid"))
+    wide = wide.join(listed, ["siteid", "dn"], "left").withColumn("siteid", F.col("_known"))
     return wide.withColumn("dt", F.lit(dt)).select(*WIDE_COLUMNS)
 
 
 def _paid(load: Load, fan_out: bool) -> DataFrame:
     """Payments with their VIP level, one row per (uid, dn)."""
     keys = ["vip_id", "dn"]
-    vip = read(load, "vip_level")
+    vip = known(read(load, "vip_level"), "vip_id")
     one = one_per_key(vip, keys).withColumn("_vip", F.col("vip_id"))
-    paid = read(load, "payments").groupBy("uid", *keys).agg(F.sum("paymoney").alias("_paid"))
+    payments = known(read(load, "payments"), "uid")
+    paid = payments.groupBy("uid", *keys).agg(F.sum("paymoney").alias("_paid"))
     rows = paid.join(one, keys, "left")
     if fan_out:
         times = vip.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times"))
@@ -97,7 +109,7 @@ def _paid(load: Load, fan_out: bool) -> DataFrame:
         )
     picked = F.struct("_vip", "vip_max_free", "vip_min_free", "vip_operator")
     out = rows.groupBy("uid", "dn").agg(
-        F.sum("_paid").cast("decimal(20,4)").alias("paymoney"),
+        F.sum("_paid").cast(MONEY_SUM).alias("paymoney"),
         F.max("vip_level").alias("vip_level"),
         F.min("vip_start_time").alias("vip_start_time"),
         F.max("vip_end_time").alias("vip_end_time"),

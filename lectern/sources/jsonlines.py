@@ -17,11 +17,8 @@ from ..functions.columns import (
 )
 from .specs import Field, TableSpec
 
-_OPTIONS = {
-    "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": "_bad",
-    "allowUnquotedFieldNames": "true",
-}
+_OPTIONS = {"mode": "PERMISSIVE", "allowUnquotedFieldNames": "true"}
+_END = "_end_of_line"
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -33,23 +30,34 @@ def json_objects(lines: DataFrame, keys: list[str], strict: bool = True) -> Data
     """The given keys of every line, as text.
 
     ``strict`` drops each line that is not one whole JSON object. The line is
-    parsed inside a wrapper, so text after the object, a second object or a bare
-    array makes the record malformed. Without ``strict`` such lines become rows
-    of nulls.
+    parsed as the only element of a list, followed by a second list with a hash
+    of the line: text after the object, a second object or a bare array change
+    the shape, and a line that closes the list itself cannot hold its own hash.
+    Without ``strict`` such lines become rows of nulls.
     """
-    fields = ", ".join(f"`{k}` string" for k in keys)
+    fields = ", ".join(f"`{k}` string" for k in (*keys, _END))
+    mark = F.sha2(F.col("value"), 256)
     parsed = F.from_json(
-        F.concat(F.lit('{"o":['), F.col("value"), F.lit('],"end":1}')),
-        f"o array<struct<{fields}>>, end int, _bad string",
+        F.concat(F.lit("[["), F.col("value"), F.lit(f'],[{{"{_END}":"'), mark, F.lit('"}]]')),
+        f"array<array<struct<{fields}>>>",
         _OPTIONS,
     )
     # a generator evaluates the parse once per line, however many keys are read
-    rows = lines.select(F.inline(F.array(parsed)))
-    whole = F.col("_bad").isNull() & (F.col("end") == 1) & (F.size("o") == 1)
+    rows = lines.select(
+        mark.alias("_mark"), F.inline(F.array(F.struct(parsed.alias("_lists"))))
+    )
+    lists = F.col("_lists")
+    whole = (
+        (F.size(lists) == 2)
+        & (F.size(F.get(lists, 0)) == 1)
+        & (F.size(F.get(lists, 1)) == 1)
+        & (F.get(F.get(lists, 1), 0)[_END] == F.col("_mark"))
+    )
+    record = F.get(F.get(lists, 0), 0)
     if strict:
-        rows = rows.where(whole & F.col("o")[0].isNotNull()).select(F.col("o")[0].alias("o"))
+        rows = rows.where(whole & record.isNotNull()).select(record.alias("o"))
     else:
-        rows = rows.select(F.when(whole, F.col("o")[0]).alias("o"))
+        rows = rows.select(F.when(whole, record).alias("o"))
     return rows.selectExpr(*(f"o.`{k}`" for k in keys))
 
 

@@ -67,7 +67,6 @@ READS: dict[str, Read] = {
         "dws_member",
         keep="uid ad_id memberlevel register appregurl regsource regsourcename adname siteid"
         " sitename vip_level paymoney dt dn",
-        money="paymoney",
         by_day=False,
     ),
     # exam area, cleaned tables
