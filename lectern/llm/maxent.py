@@ -3,8 +3,8 @@
 Each word has a class: the commonest words and the end mark have their own, all
 others are put together by their last two characters. The probability of a word
 is that of its class in context times its share of the class:
-P(class | context) is a softmax over the classes whose weights are summed from
-hashed features of the context (the word before, the pair of classes before, the
+P(class | context) is a softmax over groups of classes times one over the classes
+of the group, whose weights are summed from hashed features of the context (the word before, the pair of classes before, the
 word two back, the pair of classes three and four back), and the share is
 (count + 1) over the same sum for the class, which holds one more for all words
 never seen.
@@ -25,6 +25,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -42,10 +43,16 @@ SINGLE = 16
 # rows of the weight table: words, words two back, pairs of classes twice
 WORD_ROWS, SKIP_ROWS, PAIR_ROWS = 1 << 14, 1 << 13, CLASSES * CLASSES
 ROWS = WORD_ROWS + SKIP_ROWS + 2 * PAIR_ROWS
+# the softmax over the classes has two levels: WIDTH groups, then the classes of the group;
+# a row of the table has a slot for the groups and one for the classes of each group
+WIDTH = 8
+SLOTS = 1 + CLASSES // WIDTH
 ROUNDS = 2
 RATE = 0.15
+# largest logit, either way
+BOUND = 60.0
 # tokens of a gradient step and of a scoring step
-STEP = 8192
+STEP = 1 << 15
 # words a task counts before it hands them on
 COUNTED = 300_000
 # rows of the weight table that are averaged together, and tasks merged at once
@@ -108,8 +115,7 @@ class Model:
         )
         self.end = self.rank[END.encode()]
         self.total, self.kinds = total, kinds
-        self.weights = np.zeros((ROWS, CLASSES), dtype=np.float32)
-        self.bias = np.zeros(CLASSES, dtype=np.float32)
+        self.weights = np.zeros((ROWS, SLOTS, WIDTH), dtype=np.float32)
 
     def set_sizes(self, tail: dict[int, int]) -> None:
         """Sizes of the classes: counts plus one for each word, and one for all unseen."""
@@ -117,44 +123,44 @@ class Model:
         for k, n in tail.items():
             sizes[k] += n
         self.sizes = sizes
-        self.bias = np.log(sizes / sizes.sum()).astype(np.float32)
+        grouped = sizes.reshape(-1, WIDTH)
+        self.group_bias = np.log(grouped.sum(axis=1) / sizes.sum()).astype(np.float32)
+        self.class_bias = np.log(grouped / grouped.sum(axis=1, keepdims=True)).astype(np.float32)
 
-    def encode(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, list[list[bytes]]]]:
-        """Ids, classes and words of the texts, in chunks; ids of words beyond the head are negative."""
-        get, docs, size = self.rank.get, [], 0
+    def encode(self, texts: list[str | None]) -> Iterator[tuple]:
+        """Chunks of texts as arrays: ids, classes, words beyond the head with their places, lengths.
+
+        Each text begins with PAD end marks and ends with one; ids beyond the head are negative.
+        """
+        flat: list[bytes] = []
+        sizes: list[int] = []
         for text in texts:
             words = words_of(text)
-            docs.append(words)
-            size += len(words)
-            if size > 1 << 18:
-                yield self._arrays(docs, get)
-                docs, size = [], 0
-        if docs:
-            yield self._arrays(docs, get)
-
-    def _arrays(self, docs, get):
-        ids: list[int] = []
-        for words in docs:
-            ids += [self.end] * PAD
-            ids += [get(w, -1) for w in words]
-            ids.append(self.end)
-        ids = np.array(ids, dtype=np.int64)
-        sizes = np.array([len(w) for w in docs])
-        classes = self.classes[np.maximum(ids, 0)]
-        beyond = np.flatnonzero(ids < 0)
-        if len(beyond):
-            flat = [w for words in docs for w in words if w not in self.rank]
-            memo: dict[bytes, int] = {}
-            kinds = []
-            for w in flat:
-                # two characters have eight bytes at most
-                suffix = w[-8:]
-                if suffix not in memo:
-                    memo[suffix] = suffix_class_of(suffix)
-                kinds.append(memo[suffix])
-            classes[beyond] = kinds
-            ids[beyond] = [-1 - zlib.crc32(w) for w in flat]
-        return ids, classes, docs, sizes
+            flat += words
+            sizes.append(len(words))
+            if len(flat) > 1 << 18:
+                yield self._arrays(flat, np.array(sizes))
+                flat, sizes = [], []
+        if sizes:
+            yield self._arrays(flat, np.array(sizes))
+
+    def _arrays(self, flat: list[bytes], sizes: np.ndarray):
+        found = np.fromiter(map(self.rank.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
+        kinds = self.classes[np.maximum(found, 0)]
+        beyond = np.flatnonzero(found < 0)
+        others = [flat[k] for k in beyond.tolist()]
+        # two characters have eight bytes at most
+        suffixes = [w[-8:] for w in others]
+        memo = {x: suffix_class_of(x) for x in set(suffixes)}
+        kinds[beyond] = [memo[x] for x in suffixes]
+        found[beyond] = [-1 - zlib.crc32(w) for w in others]
+        # words move behind the marks of their own text and of those before
+        place = np.arange(len(flat)) + np.repeat((PAD + 1) * np.arange(len(sizes)) + PAD, sizes)
+        size = len(flat) + (PAD + 1) * len(sizes)
+        ids = np.full(size, self.end, dtype=np.int64)
+        classes = np.full(size, self.classes[self.end], dtype=np.int64)
+        ids[place], classes[place] = found, kinds
+        return ids, classes, (beyond, others), sizes
 
     @staticmethod
     def features(ids: np.ndarray, classes: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -182,50 +188,78 @@ class Model:
         shift = PAD * (np.arange(len(sizes)) + 1)
         return np.arange(lengths.sum()) + np.repeat(shift, lengths), begins
 
-    def logits(self, rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        out = self.bias + weights[rows[:, 0]]
-        for k in range(1, rows.shape[1]):
-            out += weights[rows[:, k]]
-        return out
+    def logits(self, rows: np.ndarray, classes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Logits of the groups, and of the classes within the group of each position's class.
+
+        Bounded, so that their exponentials need no shift.
+        """
+        slots = weights.reshape(-1, WIDTH)
+        out = []
+        for base, bias in ((0, self.group_bias), (1 + classes // WIDTH, self.class_bias[classes // WIDTH])):
+            at = rows * SLOTS + (base if isinstance(base, int) else base[:, None])
+            logit = slots[at[:, 0]]
+            for k in range(1, at.shape[1]):
+                logit += slots[at[:, k]]
+            logit += bias
+            out.append(np.clip(logit, -BOUND, BOUND, out=logit))
+        return out[0], out[1]
 
     def train(self, weights: np.ndarray, squares: np.ndarray, met: np.ndarray, texts) -> None:
         """Gradient steps over the texts; changes the three tables."""
+        ones, each = np.ones(WIDTH, np.float32), np.arange(WIDTH)
         for ids, classes, _, sizes in self.encode(texts):
             where, _ = self.positions(sizes)
             for k in range(0, len(where), STEP):
                 at = where[k : k + STEP]
+                own = classes[at]
                 rows = self.features(ids, classes, at)
-                error = self.logits(rows, weights)
-                error -= error.max(axis=1, keepdims=True)
-                np.exp(error, out=error)
-                error /= error.sum(axis=1, keepdims=True)
-                error[np.arange(len(at)), classes[at]] -= 1.0
+                errors = []
+                for error, target in zip(self.logits(rows, own, weights), (own // WIDTH, own % WIDTH), strict=True):
+                    np.exp(error, out=error)
+                    error *= (1.0 / (error @ ones))[:, None]
+                    error[np.arange(len(at)), target] -= 1.0
+                    errors.append(error.ravel())
                 for column in range(rows.shape[1]):
-                    own = rows[:, column]
-                    order = np.argsort(own, kind="stable")
-                    sorted_ = own[order]
-                    first = np.flatnonzero(np.concatenate(([True], sorted_[1:] != sorted_[:-1])))
-                    row = sorted_[first]
-                    step = np.add.reduceat(error[order], first, axis=0)
-                    squares[row] += np.einsum("ij,ij->i", step, step) / CLASSES
-                    met[row] += np.diff(np.append(first, len(sorted_)))
-                    weights[row] -= RATE * step / np.sqrt(squares[row] + 1e-3)[:, None]
+                    # row by number among those met; sixteen bits are sorted in linear time
+                    order = np.argsort(rows[:, column].astype(np.uint16), kind="stable")
+                    sorted_ = rows[order, column]
+                    new = np.concatenate(([True], sorted_[1:] != sorted_[:-1]))
+                    row = sorted_[new]
+                    number = np.empty(len(order), np.int64)
+                    number[order] = np.cumsum(new) - 1
+                    slot = number * WIDTH + own // WIDTH
+                    size = len(row) * WIDTH
+                    step = np.empty((len(row), SLOTS, WIDTH), np.float32)
+                    step[:, 0] = np.bincount(
+                        (number[:, None] * WIDTH + each).ravel(), errors[0], size
+                    ).reshape(len(row), WIDTH)
+                    step[:, 1:] = np.bincount(
+                        (slot[:, None] * WIDTH + each).ravel(), errors[1], size * WIDTH
+                    ).reshape(len(row), WIDTH, WIDTH)
+                    seen = np.bincount(slot, minlength=size).reshape(len(row), WIDTH)
+                    met[row, 0] += seen.sum(axis=1)
+                    met[row, 1:] += seen
+                    total = squares[row] + np.einsum("ijk,ijk->ij", step, step) / WIDTH
+                    squares[row] = total
+                    step *= (RATE / np.sqrt(total + 1e-3))[:, :, None]
+                    weights[row] -= step
 
     def score(self, texts):
-        """For each text: tokens, head tokens, log10 sums of the head, of the class part, and the other words."""
+        """For each text: tokens, known head tokens, log10 sums of head counts and of the model, other words."""
+        ones = np.ones(WIDTH, np.float32)
         head_base = np.log10(self.counts + 1)
         head_share = head_base - np.log10(self.sizes[self.classes])
-        for ids, classes, docs, sizes in self.encode(texts):
+        for ids, classes, (beyond, others), sizes in self.encode(texts):
             where, begins = self.positions(sizes)
             part = np.zeros(len(where))
             for k in range(0, len(where), STEP):
                 at = where[k : k + STEP]
-                logit = self.logits(self.features(ids, classes, at), self.weights)
-                top = logit.max(axis=1)
-                own = logit[np.arange(len(at)), classes[at]]
-                logit -= top[:, None]
-                np.exp(logit, out=logit)
-                part[k : k + STEP] = own - top - np.log(logit.sum(axis=1, dtype=np.float64))
+                own = classes[at]
+                logits = self.logits(self.features(ids, classes, at), own, self.weights)
+                for logit, target in zip(logits, (own // WIDTH, own % WIDTH), strict=True):
+                    part[k : k + STEP] += logit[np.arange(len(at)), target]
+                    np.exp(logit, out=logit)
+                    part[k : k + STEP] -= np.log(logit @ ones)
             part /= np.log(10)
             own = ids[where]
             known = own >= 0
@@ -234,9 +268,10 @@ class Model:
             share[~known] = -np.log10(self.sizes[classes[where[~known]]])
             known &= self.counts[np.maximum(own, 0)] > 0
             sums = [np.add.reduceat(x, begins) for x in (known.astype(np.int64), base, part + share)]
-            for k, words in enumerate(docs):
-                other = Counter(w for w in words if w not in self.rank)
-                yield int(sizes[k]) + 1, *(x[k] for x in sums), other
+            # the other words of a text lie together
+            cuts = np.searchsorted(beyond, np.cumsum(sizes)).tolist()
+            for k, (a, b) in enumerate(zip([0, *cuts], cuts, strict=False)):
+                yield int(sizes[k]) + 1, *(x[k] for x in sums), Counter(others[a:b])
 
 
 def _head(counts: DataFrame) -> tuple[list[bytes], list[int], int]:
@@ -292,7 +327,7 @@ def _round(model: Model, texts: DataFrame, spark) -> np.ndarray:
 
         own = sent.value
         weights = own.weights.copy()
-        squares, met = np.zeros(ROWS, np.float32), np.zeros(ROWS, np.int64)
+        squares, met = np.zeros((ROWS, SLOTS), np.float32), np.zeros((ROWS, SLOTS), np.int64)
         for batch in batches:
             own.train(weights, squares, met, batch["text"])
         for k in range(blocks):
@@ -307,13 +342,14 @@ def _round(model: Model, texts: DataFrame, spark) -> np.ndarray:
                 )
 
     def average(rows: pd.DataFrame) -> pd.DataFrame:
-        total, met = np.zeros((BLOCK, CLASSES)), np.zeros(BLOCK)
+        total, met = np.zeros((BLOCK, SLOTS, WIDTH)), np.zeros((BLOCK, SLOTS))
         # a fixed order, so that reruns round alike
         for _, row in rows.sort_values("task").iterrows():
-            n = np.frombuffer(row["met"])
-            total += np.frombuffer(row["weights"], np.float32).reshape(BLOCK, CLASSES) * n[:, None]
+            n = np.frombuffer(row["met"]).reshape(BLOCK, SLOTS)
+            new = np.frombuffer(row["weights"], np.float32).reshape(BLOCK, SLOTS, WIDTH)
+            total += new * n[:, :, None]
             met += n
-        mean = (total / np.maximum(met, 1.0)[:, None]).astype(np.float32)
+        mean = (total / np.maximum(met, 1.0)[:, :, None]).astype(np.float32)
         return pd.DataFrame(
             {
                 "block": [int(rows["block"].iloc[0])], "task": [int(rows["task"].min()) // MERGED],
@@ -327,8 +363,8 @@ def _round(model: Model, texts: DataFrame, spark) -> np.ndarray:
     weights = model.weights.copy()
     for row in merged.groupBy("block").applyInPandas(average, schema).collect():
         own = slice(row["block"] * BLOCK, (row["block"] + 1) * BLOCK)
-        n = np.frombuffer(row["met"]) > 0
-        new = np.frombuffer(row["weights"], np.float32).reshape(BLOCK, CLASSES)
+        n = np.frombuffer(row["met"]).reshape(BLOCK, SLOTS) > 0
+        new = np.frombuffer(row["weights"], np.float32).reshape(BLOCK, SLOTS, WIDTH)
         weights[own][n] = new[n]
     return weights
 

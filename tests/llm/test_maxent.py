@@ -63,9 +63,12 @@ def test_next_word_probabilities_add_up(spark, docs):
     model, _ = maxent.fit(docs.where("train").select("text", F.lit(0).alias("part")), rounds=1)
     ids, classes, _, sizes = next(model.encode(["a1um b2os a3um a4um"]))
     where, _ = model.positions(sizes)
-    logit = model.logits(model.features(ids, classes, where), model.weights).astype(float)
-    p = np.exp(logit - logit.max(axis=1, keepdims=True))
-    p /= p.sum(axis=1, keepdims=True)
+    rows = model.features(ids, classes, where)
+    p = np.zeros((len(where), maxent.CLASSES))
+    for k in range(maxent.CLASSES):
+        pair = [np.exp(x.astype(float)) for x in model.logits(rows, np.full(len(where), k), model.weights)]
+        group, own = (x / x.sum(axis=1, keepdims=True) for x in pair)
+        p[:, k] = group[:, k // maxent.WIDTH] * own[:, k % maxent.WIDTH]
     share = np.bincount(model.classes, weights=model.counts + 1, minlength=maxent.CLASSES) + 1
     assert p @ (share / model.sizes) == pytest.approx(np.ones(len(where)))
 
