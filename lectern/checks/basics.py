@@ -165,7 +165,7 @@ def segment_members(spark, d):
     orders = _t(spark, d, "orders").withColumn(
         "segment", band(F.col("o_totalprice") / 5000, (0, 20, 40, 60, 80, 100))
     )
-    return member_lists(orders, ["o_orderstatus", "segment"], "o_custkey", "custkeys")
+    return member_lists(orders, ["o_orderstatus", "segment"], "o_custkey", "custkeys", 16)
 
 
 _BOUNDS = {
@@ -217,26 +217,24 @@ def rate_sql(part: str, whole: str) -> str:
     return f"CAST((({part}) * 200 + ({whole})) // (2 * ({whole})) / 100.0 AS DECIMAL(4,2))"
 
 
-def parts_sql(source: str, keys: str, member: str, name: str, part_size: int) -> str:
+def parts_sql(source: str, keys: str, member: str, name: str, buckets: int) -> str:
     """Member lists in parts, from ``source`` with columns ``keys`` and ``member``."""
     return f"""
         SELECT {keys}, part, STRING_AGG(CAST({member} AS VARCHAR), ',' ORDER BY {member}) AS {name}
         FROM (
-            SELECT {keys}, {member}, UNNEST(RANGE(LEAST({part_size}, n - piece * {part_size}))),
-                CAST((((({member} % 2147483648) * 2654435761 + piece * 40503) % 4294967296)
-                    * parts) >> 32 AS INTEGER) AS part
+            SELECT {keys}, {member}, UNNEST(RANGE(LEAST(1000, n - piece * 1000))),
+                CAST(CAST('0x' || SUBSTR(MD5({member} || ':' || piece), 1, 8) AS BIGINT)
+                    % {buckets} AS INTEGER) AS part
             FROM (
-                SELECT *, UNNEST(RANGE((n - 1) // {part_size} + 1)) AS piece,
-                    CASE WHEN total > {part_size}
-                        THEN CAST((total + {part_size} - 1) // {part_size} AS BIGINT)
-                        ELSE 1 END AS parts
+                SELECT *, UNNEST(RANGE((n - 1) // 1000 + 1)) AS piece
                 FROM (
-                    SELECT {keys}, CAST({member} AS BIGINT) AS {member}, COUNT(*) AS n,
-                        SUM(COUNT(*)) OVER (PARTITION BY {keys}) AS total
-                    FROM ({source}) GROUP BY {keys}, {member}
+                    SELECT {keys}, CAST({member} AS BIGINT) AS {member}, COUNT(*) AS n
+                    FROM ({source}) WHERE {member} IS NOT NULL GROUP BY {keys}, {member}
                 )
             )
-        ) GROUP BY {keys}, part"""
+        ) GROUP BY {keys}, part
+        UNION ALL
+        SELECT {keys}, 0, '' FROM ({source}) GROUP BY {keys} HAVING COUNT({member}) = 0"""
 
 
 def _dense_sql(order: str) -> str:
@@ -319,7 +317,7 @@ SQL = {
                 WHEN o_totalprice / 5000 > 60 AND o_totalprice / 5000 <= 80 THEN '60-80'
                 WHEN o_totalprice / 5000 > 80 AND o_totalprice / 5000 <= 100 THEN '80-100'
             END AS segment FROM orders""",
-        "o_orderstatus, segment", "o_custkey", "custkeys", 100_000,
+        "o_orderstatus, segment", "o_custkey", "custkeys", 16,
     ),
     "error_rate": f"""
         SELECT source, errcount, rightcount, {rate_sql('errcount', 'errcount + rightcount')} AS rate

@@ -6,16 +6,27 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.history import close_versions, day_increment, merge_day, merge_history
-from ..plans import exams, members
+from ..plans import exams, jobs, members
 from ..plans.ingest import members_from_json
 from ..session import scratch_dir
 from ..sources.lake import Lake, write_table
 from ..sources.reads import READS, read
 from ..sources.specs import CLEANED
 from .basics import parts_sql, rate_sql
-from .logs import DAYS, DT, RAW, cleaned_sql, derived_tables, ingested, log_lines
+from .logs import (
+    DAYS,
+    DT,
+    RAW,
+    SITES,
+    cleaned_sql,
+    derived_tables,
+    dirty_log,
+    ingested,
+    log_lines,
+)
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -106,6 +117,24 @@ SQL["sink_append"] = _with(
 )
 
 
+def sink_rerun_drops_site(spark, d):
+    """All days stored, then the last one again without one of its websites."""
+    spec = CLEANED["dwd_pcentermempaymoney"]
+    rows = derived_tables(spark, d)(spec.name)
+    lake = Lake(spark, scratch_dir(spark))
+    for day in DAYS:
+        lake.replace_day(exams.of_day(rows, day), spec.name, day)
+    lake.replace_day(exams.of_day(rows, DT).where(F.col("dn") == SITES[0]), spec.name, DT)
+    return lake.read(spec.name, spec.schema)
+
+
+QUERIES["sink_rerun_drops_site"] = sink_rerun_drops_site
+SQL["sink_rerun_drops_site"] = _with(
+    f"SELECT * FROM p WHERE dt <> '{DT}' OR dn = '{SITES[0]}'",
+    p=cleaned_sql("dwd_pcentermempaymoney"),
+)
+
+
 def day_filter(spark, d):
     """One day of a stored table; the filter reads only that day's folder."""
     spec = CLEANED["dwd_pcentermempaymoney"]
@@ -350,6 +379,50 @@ for _name, _query in {
     QUERIES[_name] = _query
     SQL[_name] = _HISTORY_SQL
 
+
+
+def history_null_payment(spark, d):
+    """Three days, with unreadable payments among those of the second."""
+    load = derived_tables(spark, d)
+    bad = (F.col("dt") == DAYS[1]) & (F.col("uid") % 3 == 0)
+    payments = load("dwd_pcentermempaymoney").withColumn(
+        "paymoney", F.when(bad, "n/a").otherwise(F.col("paymoney"))
+    )
+    merged = spark.createDataFrame([], day_increment(payments, load("dwd_vip_level"), DT).schema)
+    for day in DAYS:
+        merged = merge_history(merged, day_increment(payments, load("dwd_vip_level"), day), day)
+    return merged
+
+
+QUERIES["history_null_payment"] = history_null_payment
+SQL["history_null_payment"] = _HISTORY_SQL.replace(
+    "CAST(SUM(CAST(e.paymoney AS DECIMAL(20,4))) AS DECIMAL(38,4))",
+    f"""CAST(COALESCE(SUM(CASE WHEN e.dt = '{DAYS[1]}' AND e.uid % 3 = 0 THEN NULL
+        ELSE CAST(e.paymoney AS DECIMAL(20,4)) END), 0) AS DECIMAL(38,4))""",
+)
+
+
+def history_corrected_day(spark, d):
+    """The stored history after the second day was run with wrong payments and put right."""
+    load = derived_tables(spark, d)
+    table = "dwd_pcentermempaymoney"
+    lake = Lake(spark, scratch_dir(spark))
+    lake.write(load("dwd_vip_level"), "dwd_vip_level", CLEANED["dwd_vip_level"].partitions)
+    payments = load(table)
+    lake.write(payments, table)
+    wrong = exams.of_day(payments, DAYS[1]).withColumn("uid", F.col("uid") + 1)
+    lake.replace_day(wrong, table, DAYS[1])
+    for day in DAYS:
+        jobs.build_history(lake, day)
+    lake.replace_day(exams.of_day(payments, DAYS[1]), table, DAYS[1])
+    for day in DAYS[1:]:
+        jobs.build_history(lake, day)
+    return jobs.history(lake, DT)
+
+
+QUERIES["history_corrected_day"] = history_corrected_day
+SQL["history_corrected_day"] = _HISTORY_SQL
+
 _DAY_SQL = _with(
     """SELECT uid, paymoney, vip_level, start_time, '9999-12-31' AS end_time, dn FROM i
     WHERE start_time = '2019-07-22'""",
@@ -476,12 +549,16 @@ _BANDED = """SELECT paperviewid, paperviewname, userid, dt, dn, CASE
         WHEN score > 80 AND score <= 100 THEN '80-100' END AS score_segment FROM w"""
 
 
-def _segments(part_size):
-    return _exam_report(lambda w: exams.score_segments(w, part_size))
+def _segments(buckets):
+    return _exam_report(lambda w: exams.score_segments(w, buckets))
 
 
-# the second keeps lists short, so that most groups take several parts
-for _name, _size in {"score_segments": 100_000, "score_segments_parts": 20}.items():
+QUERIES["score_segment_users"] = _exam_report(exams.segment_users)
+SQL["score_segment_users"] = _exam_sql(
+    f"""SELECT paperviewid, paperviewname, score_segment, userid, COUNT(*) AS copies, dt, dn
+    FROM ({_BANDED}) GROUP BY paperviewid, paperviewname, score_segment, userid, dt, dn"""
+)
+for _name, _size in {"score_segments": 16, "score_segments_parts": 3}.items():
     QUERIES[_name] = _segments(_size)
     SQL[_name] = _exam_sql(
         parts_sql(
@@ -530,6 +607,24 @@ SQL["question_error_rate_all"] = _exam_sql(
         WHERE user_question_answer IN (0, 1) GROUP BY questionid, dt, dn)"""
 )
 
+
+
+def reports_from_lake(spark, d):
+    """From raw logs through the stored layers to the pass rates, as the jobs run."""
+    lake = Lake(spark, scratch_dir(spark))
+    raw = f"{lake.root}/raw"
+    for table in RAW:
+        dirty_log(spark, d, table).write.text(f"{raw}/{CLEANED[table].log}")
+    jobs.ingest(lake, raw)
+    jobs.build_dimensions(lake, DT)
+    jobs.build_answers(lake, DT)
+    jobs.exam_reports(lake, DT)
+    return lake.read("ads_user_paper_detail")
+
+
+QUERIES["reports_from_lake"] = reports_from_lake
+SQL["reports_from_lake"] = SQL["paper_pass_rate_service"]
+
 # reads: every narrow read over its derived table
 
 _SOURCE_SQL = {

@@ -180,9 +180,30 @@ def log_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return keys.select(F.to_json(F.struct("*")).alias("value"))
 
 
+# lines that are no JSON object, or more than one; the last two look whole inside a wrapper
+DIRTY = (
+    '{"uid":1',
+    "plain text",
+    "",
+    "null",
+    "[1]",
+    '[{"uid":1}]',
+    '{"uid":1} {"uid":2}',
+    '{"uid":1} trailing',
+    '{"uid":1}],"end":1,"o":[{"uid":2}',
+    '{"uid":4}],"x":[{"uid":5}',
+)
+
+
+def dirty_log(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The raw log with malformed lines among the good ones."""
+    lines = F.explode(F.array(*(F.lit(x) for x in DIRTY))).alias("value")
+    return log_lines(spark, sf_dir, table).unionAll(spark.range(1).select(lines))
+
+
 def ingested(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A cleaned table, parsed from the lines of its log."""
-    return clean(log_lines(spark, sf_dir, table), CLEANED[table])
+    return clean(dirty_log(spark, sf_dir, table), CLEANED[table])
 
 
 def derived_tables(spark: SparkSession, sf_dir: str):

@@ -62,52 +62,49 @@ def two_sided(
     return out.withColumn("rate", share.try_cast("decimal(4,2)"))
 
 
+# copies of one member that stay together in a list
+PIECE = 1000
+
+
+def member_counts(
+    df: DataFrame, keys: Sequence[str], member: str, copies: str = "copies"
+) -> DataFrame:
+    """One row per group and member with the number of its rows; a null member is none.
+
+    The form of a member list to store: a group of any size is as many rows, and
+    a member that occurs often is one.
+    """
+    rows = df.where(F.col(member).isNotNull()).groupBy(*keys, member)
+    return rows.agg(F.count(F.lit(1)).alias(copies))
+
+
 def member_lists(
-    df: DataFrame,
-    keys: Sequence[str],
-    member: str,
-    name: str,
-    part_size: int = 100_000,
+    df: DataFrame, keys: Sequence[str], member: str, name: str, buckets: int
 ) -> DataFrame:
-    """Comma-separated members of every group, whole, in parts of about ``part_size``.
+    """Comma-separated members of every group, whole, in rows numbered by ``part``.
 
-    A group that fits is one row with ``part`` 0. A larger one is spread over as
-    many parts as it needs by a hash of the member, so that no task and no row
-    ever holds an unbounded list; its parts together are its list. A member that
-    occurs often is carried as a count until the last step.
+    A member's part is a hash of the member and of the piece of its copies, below
+    ``buckets``. It depends on nothing else, so no row moves when a group grows; choose
+    ``buckets`` so that the largest group divided by it fits a row. Copies of a hot
+    member are dealt in pieces. A group without any member has one empty list.
     """
     counted = df.groupBy(*keys, member).agg(F.count(member).alias("_n"))
-    large = (
-        counted.groupBy(*keys)
-        .agg(F.sum("_n").alias("_total"))
-        .where(F.col("_total") > part_size)
-        .select(
-            *(F.col(k).alias(f"_{k}") for k in keys),
-            F.ceil(F.col("_total") / part_size).alias("_parts"),
-        )
-    )
-    on = F.lit(True)
-    for k in keys:
-        on = on & counted[k].eqNullSafe(large[f"_{k}"])
-    spread = counted.join(large, on, "left").withColumn(
-        "_parts", F.coalesce("_parts", F.lit(1).cast("long"))
-    )
-    # one member's copies may themselves exceed a part
-    last = F.greatest(F.floor((F.col("_n") - 1) / part_size), F.lit(0))
-    pieces = spread.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))))
-    copies = F.least(F.lit(part_size).cast("long"), F.col("_n") - F.col("_piece") * part_size)
-    pieces = pieces.withColumn("_copies", copies.cast("int")).withColumn(
-        "part", _spread(F.col(member), F.col("_piece"), F.col("_parts"))
-    )
-    lists = pieces.groupBy(*keys, "part").agg(
-        F.flatten(F.collect_list(F.array_repeat(F.col(member), F.col("_copies")))).alias("_all")
+    last = F.greatest(F.floor((F.col("_n") - 1) / PIECE), F.lit(0)).cast("long")
+    pieces = counted.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    copies = F.least(F.lit(PIECE).cast("long"), F.col("_n") - F.col("_piece") * PIECE).cast("int")
+    dealt = F.md5(F.concat_ws(":", F.col(member).cast("string"), F.col("_piece").cast("string")))
+    part = F.conv(F.substring(dealt, 1, 8), 16, 10).cast("long") % buckets
+    lists = (
+        pieces.where("_n > 0")
+        .withColumn("part", part.cast("int"))
+        .groupBy(*keys, "part")
+        .agg(F.flatten(F.collect_list(F.array_repeat(F.col(member), copies))).alias("_all"))
     )
     text = F.array_join(F.array_sort("_all").cast("array<string>"), ",")
-    return lists.select(*keys, "part", text.alias(name))
-
-
-def _spread(member: Column, piece: Column, parts: Column) -> Column:
-    """Part of a whole-number member: a multiplicative hash onto 32 bits, scaled to ``parts``."""
-    small = F.pmod(member.cast("long"), F.lit(2**31))
-    mixed = F.pmod(small * F.lit(2654435761) + piece * 40503, F.lit(2**32))
-    return F.coalesce(F.shiftright(mixed * parts, 32).cast("int"), F.lit(0))
+    empty = (
+        counted.groupBy(*keys)
+        .agg(F.sum("_n").alias("_n"))
+        .where("_n = 0")
+        .select(*keys, F.lit(0).alias("part"), F.lit("").alias(name))
+    )
+    return lists.select(*keys, "part", text.alias(name)).unionByName(empty)

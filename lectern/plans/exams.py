@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import SCORE, SCORE_EDGES, band
 from ..operators.joins import known, one_per_key
 from ..operators.ranking import top_levels
-from ..operators.rollups import averages, extremes, member_lists, two_sided
+from ..operators.rollups import averages, extremes, member_counts, member_lists, two_sided
 from ..sources.reads import read
 
 Load = Callable[[str], DataFrame]
@@ -160,11 +160,24 @@ def ranked(
     return out.select(*head, "rk", *(c for c in ("dt", "dn") if c in columns))
 
 
-def score_segments(rows: DataFrame, part_size: int = 100_000) -> DataFrame:
-    """User ids per paper view and score band; scores outside all bands are in a null band."""
-    banded = rows.withColumn("score_segment", band(F.col("score"), SCORE_EDGES))
-    keys = ["paperviewid", "paperviewname", "score_segment", "dt", "dn"]
-    lists = member_lists(banded, keys, "userid", "userids", part_size)
+SEGMENT_KEYS = ["paperviewid", "paperviewname", "score_segment", "dt", "dn"]
+
+
+def banded(rows: DataFrame) -> DataFrame:
+    """Rows with their score band; scores outside all bands are in a null band."""
+    return rows.withColumn("score_segment", band(F.col("score"), SCORE_EDGES))
+
+
+def segment_users(rows: DataFrame) -> DataFrame:
+    """Users per paper view and score band, one row each, with the number of their answers."""
+    return member_counts(banded(rows), SEGMENT_KEYS, "userid").select(
+        "paperviewid", "paperviewname", "score_segment", "userid", "copies", "dt", "dn"
+    )
+
+
+def score_segments(rows: DataFrame, buckets: int = 16) -> DataFrame:
+    """User ids per paper view and score band as text, in up to ``buckets`` rows a group."""
+    lists = member_lists(banded(rows), SEGMENT_KEYS, "userid", "userids", buckets)
     return lists.select(
         "paperviewid", "paperviewname", "score_segment", "part", "userids", "dt", "dn"
     ).orderBy("paperviewid", "score_segment", "dn", "part")

@@ -16,7 +16,7 @@ from lectern.sources import CLEANED, Lake
 
 DAYS = ["20190720", "20190721", "20190722", "20190723"]
 OPEN = "9999-12-31"
-SCHEMA = "uid int, paymoney decimal(20,4), vip_level string, start_time string, end_time string," \
+SCHEMA = "uid int, paymoney decimal(38,4), vip_level string, start_time string, end_time string," \
     " dn string"
 
 
@@ -125,7 +125,7 @@ def test_fixed_cases(spark, rows):
         (3, d(7), "L1", "2019-07-01", OPEN, "a"),
         (4, d(3), "L1", "2019-07-22", OPEN, "a"),
         (6, None, "L1", "2019-07-01", "2019-07-22", None),
-        (6, None, "L3", "2019-07-22", OPEN, None),
+        (6, d(0), "L3", "2019-07-22", OPEN, None),
     ]
     assert got == rows(spark.createDataFrame(want, SCHEMA))
 

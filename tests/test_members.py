@@ -20,7 +20,7 @@ def table(spark, name, rows):
 def load(spark):
     r = random.Random(11)
     member, reg, pay = [], [], []
-    for uid in range(12):
+    for uid in range(1, 12):
         for dn in ("a", "b"):
             # some members occur twice, some on one website or another day only
             for _ in range(r.choice([0, 1, 1, 2])):
@@ -45,7 +45,12 @@ def load(spark):
                         "vip_id": r.choice([1, 2, 88]), "dt": DT, "dn": dn,
                     }
                 )
-    pay.append({"uid": 0, "paymoney": "not money", "vip_id": 1, "dt": DT, "dn": "a"})
+    pay.append({"uid": 1, "paymoney": "not money", "vip_id": 1, "dt": DT, "dn": "a"})
+    # broken records of all kinds, which must not meet each other
+    for _ in range(3):
+        member.append({"uid": 0, "ad_id": 0, "memberlevel": "m", "register": "2019-01", "dt": DT, "dn": "a"})
+        reg.append({"uid": 0, "appregurl": "lost", "createtime": "2019-01", "websiteid": 0, "dt": DT, "dn": "a"})
+        pay.append({"uid": 0, "paymoney": "5", "vip_id": 0, "dt": DT, "dn": "a"})
     both = ("a", "b")
     tables = {
         "dwd_member": member,
@@ -78,10 +83,10 @@ def test_wide_has_one_row_per_member_and_true_sums(spark, rows, load):
     assert rows(wide, "uid", "dn") == rows(keys)
     paid = {}
     for p in load("dwd_pcentermempaymoney").collect():
-        if p.paymoney != "not money":
+        if p.paymoney != "not money" and p.uid:
             paid[p.uid, p.dn] = paid.get((p.uid, p.dn), Decimal(0)) + Decimal(p.paymoney)
     regs = {}
-    for g in load("dwd_member_regtype").collect():
+    for g in load("dwd_member_regtype").where("uid <> 0").collect():
         key = (g.createtime, g.appregurl)
         regs.setdefault((g.uid, g.dn), []).append((key, g.appregurl, g.websiteid))
     for r in wide.collect():
@@ -93,7 +98,7 @@ def test_wide_has_one_row_per_member_and_true_sums(spark, rows, load):
 
 def test_levels(spark, load):
     pay = {}
-    for p in load("dwd_pcentermempaymoney").collect():
+    for p in load("dwd_pcentermempaymoney").where("uid <> 0").collect():
         pay.setdefault((p.uid, p.dn), set()).add(p.vip_id)
     for r in members.member_wide(load, DT).collect():
         known = sorted(pay.get((r.uid, r.dn), set()) - {88})
@@ -112,6 +117,10 @@ def test_member_inputs_keep_one_partitioning(spark, load):
     assert plan.count("Exchange hashpartitioning(uid") == 4
 
 
+def test_broken_records_do_not_multiply(spark, load):
+    assert members.member_rows(load, DT).where("uid = 0").count() == 3
+
+
 def test_counts_keep_odd_labels(spark, rows):
     df = spark.createDataFrame(
         [(1, "a_b", "w", DT), (2, "a_b", "w", DT), (3, None, "w", DT), (4, "a", "w_x", DT)],
@@ -125,11 +134,15 @@ def test_counts_keep_odd_labels(spark, rows):
 def test_top_payers(spark):
     rows_in = [(i, "gold", Decimal(10 if i < 5 else 1), "w") for i in range(6)]
     rows_in += [(9, "tin", None, "w"), (1, "gold", Decimal(3), "v")]
+    rows_in += [(7, "big", Decimal(999_999), "w"), (8, "big", Decimal("5707855.14"), "w")]
     df = spark.createDataFrame(
-        rows_in, "uid int, memberlevel string, paymoney decimal(10,4), dn string"
+        rows_in, "uid int, memberlevel string, paymoney decimal(38,4), dn string"
     )
     got = members.top_payers(df, columns=["memberlevel", "rownum", "dn", "uid"]).collect()
-    assert [tuple(r) for r in got] == [
+    assert [tuple(r) for r in got if r.memberlevel == "big"] == [
+        ("big", 1, "w", 8), ("big", 2, "w", 7),
+    ]
+    assert [tuple(r) for r in got if r.memberlevel != "big"] == [
         ("gold", 1, "v", 1), ("gold", 1, "w", 0), ("gold", 2, "w", 1), ("gold", 3, "w", 2),
         ("tin", 1, "w", 9),
     ]

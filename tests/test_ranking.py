@@ -3,7 +3,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from lectern.operators.joins import broadcast_checked, one_per_key
+from lectern.operators.joins import known, one_per_key
 from lectern.operators.ranking import top_levels, top_rows
 
 
@@ -84,7 +84,8 @@ def test_one_per_key(spark, rows):
     )
 
 
-def test_broadcast_only_when_small(spark):
-    df = spark.range(100)
-    assert "broadcast" in broadcast_checked(df, 100)._jdf.queryExecution().toString().lower()
-    assert "broadcast" not in broadcast_checked(df, 99)._jdf.queryExecution().toString().lower()
+def test_unknown_ids_do_not_meet(spark):
+    left = spark.createDataFrame([(0, "a")] * 20 + [(1, "a")], "id int, l string")
+    right = spark.createDataFrame([(0, "b")] * 20 + [(1, "b"), (None, "b")], "id int, r string")
+    assert left.join(known(right, "id"), "id").count() == 1
+    assert left.join(known(right, "id"), "id", "left").count() == 21

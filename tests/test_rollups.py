@@ -31,7 +31,7 @@ def answers(spark, n=800, seed=3):
     rows += [(1, 9, "s", Decimal(70), 1, 78, 0, "20190722", "a")]
     df = spark.createDataFrame(
         rows,
-        "userid int, paperviewid int, paperviewname string, score decimal(5,1), spendtime int,"
+        "userid int, paperviewid int, paperviewname string, score decimal(22,1), spendtime int,"
         " questionid int, user_question_answer int, dt string, dn string",
     )
     return rows, df
@@ -115,24 +115,45 @@ def test_score_segments_are_whole(spark):
     want = defaultdict(list)
     for user, paper, name, score, *_, dt, dn in given:
         want[paper, name, segment(score), dt, dn].append(user)
-    for size in (100_000, 7):
+    for buckets in (1, 7):
         got, parts = defaultdict(list), Counter()
-        for r in exams.score_segments(df, size).collect():
+        for r in exams.score_segments(df, buckets).collect():
             key = (r.paperviewid, r.paperviewname, r.score_segment, r.dt, r.dn)
             got[key] += map(int, r.userids.split(","))
             parts[key] += 1
         assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
-        assert (max(parts.values()) > 1) == (size == 7)
+        assert (max(parts.values()) > 1) == (buckets == 7)
+    counts = {
+        (r.paperviewid, r.paperviewname, r.score_segment, r.dt, r.dn, r.userid): r.copies
+        for r in exams.segment_users(df).collect()
+    }
+    assert counts == Counter((*k, u) for k, users in want.items() for u in users)
 
 
-def test_member_lists_split_a_hot_group_and_a_hot_member(spark):
-    users = [*range(20_000), *[5] * 3_000, None]
+def parts_of(spark, users, buckets):
     df = spark.createDataFrame([("g", u) for u in users] + [("empty", None)], "k string, u int")
-    got = member_lists(df, ["k"], "u", "us", part_size=1000).collect()
-    lists = [(r.k, [int(x) for x in r.us.split(",")]) for r in got if r.k == "g"]
-    assert sorted(x for _, part in lists for x in part) == sorted(u for u in users if u is not None)
-    assert len(lists) == 23 and max(len(part) for _, part in lists) < 4 * 1000
-    assert [r.us for r in got if r.k == "empty"] == [""]
+    got = member_lists(df, ["k"], "u", "us", buckets).collect()
+    assert [(r.part, r.us) for r in got if r.k == "empty"] == [(0, "")]
+    return {r.part: [int(x) for x in r.us.split(",")] for r in got if r.k == "g"}
+
+
+def test_member_lists_split_a_hot_member(spark):
+    parts = parts_of(spark, [*[5] * 200_000, None], 20)
+    assert sum(map(len, parts.values())) == 200_000
+    # pieces of a thousand copies, ten to a part on average
+    assert len(parts) == 20 and max(map(len, parts.values())) <= 25_000
+
+
+def test_member_lists_split_a_hot_group(spark):
+    parts = parts_of(spark, range(20_000), 20)
+    assert sorted(x for part in parts.values() for x in part) == list(range(20_000))
+    assert max(map(len, parts.values())) < 2 * 1000
+
+
+def test_a_growing_group_moves_no_row(spark):
+    small, large = parts_of(spark, range(500), 8), parts_of(spark, range(5000), 8)
+    for part, members in small.items():
+        assert set(members) <= set(large[part])
 
 
 def test_no_row_is_ranked_or_listed_in_one_piece(spark):
