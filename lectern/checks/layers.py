@@ -482,14 +482,26 @@ SQL["wide_answer_per_answer"] = _with(
     *_ANSWER_INPUTS,
     **_DIM_CTES,
     one_chapter="""SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (
-        PARTITION BY chapterid, dn ORDER BY pointid) AS rn FROM dws_qz_chapter) WHERE rn = 1""",
+        PARTITION BY chapterid, dn ORDER BY pointid) AS rn,
+        COUNT(*) OVER (PARTITION BY chapterid, dn) AS copies FROM dws_qz_chapter) WHERE rn = 1""",
 )
 
 # exam reports
 
 
 def _exam_report(plan):
-    return lambda spark, d: plan(exams.answer_wide(_layers(spark, d), DT))
+    """A report over rows of one answer each, as stored; its SQL reads all copies."""
+    return lambda spark, d: plan(exams.answer_wide(_layers(spark, d), DT, answer_grain=True))
+
+
+def _ranked(**options):
+    def run(spark, d):
+        load = _layers(spark, d)
+        points = read(load, "chapter_dim", DT)
+        rows = exams.answer_wide(load, DT, answer_grain=True)
+        return exams.ranked(rows, points=points, **options)
+
+    return run
 
 
 def _exam_sql(sql: str, **ctes: str) -> str:
@@ -530,17 +542,15 @@ def _ranked_sql(
     )
 
 
-QUERIES["top3_answers"] = _exam_report(exams.ranked)
+QUERIES["top3_answers"] = _ranked()
 SQL["top3_answers"] = _ranked_sql("DESC NULLS LAST")
-QUERIES["low3_answers"] = _exam_report(lambda w: exams.ranked(w, best=False))
+QUERIES["low3_answers"] = _ranked(best=False)
 SQL["low3_answers"] = _ranked_sql("ASC NULLS FIRST")
-QUERIES["top3_answers_by_website"] = _exam_report(lambda w: exams.ranked(w, by_website=True))
+QUERIES["top3_answers_by_website"] = _ranked(by_website=True)
 SQL["top3_answers_by_website"] = _ranked_sql("DESC NULLS LAST", "paperviewid, dn")
 # the form of the report that names the site and not the paper view
 _WITH_SITE = [c for c in exams.RANKED_COLUMNS if c != "paperviewid"] + ["sitename"]
-QUERIES["low3_answers_with_site"] = _exam_report(
-    lambda w: exams.ranked(w, best=False, columns=_WITH_SITE)
-)
+QUERIES["low3_answers_with_site"] = _ranked(best=False, columns=_WITH_SITE)
 SQL["low3_answers_with_site"] = _ranked_sql("ASC NULLS FIRST", columns=_WITH_SITE)
 
 _BANDED = """SELECT paperviewid, paperviewname, userid, dt, dn, CASE

@@ -6,6 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+# a row may stand for several; this column, where there is one, says for how many
+COPIES = "copies"
+
+
+def _weight(df: DataFrame) -> Column:
+    return F.col(COPIES) if COPIES in df.columns else F.lit(1)
 
 
 def count_by(df: DataFrame, keys: Sequence[str], counted: str, name: str = "num") -> DataFrame:
@@ -14,12 +23,26 @@ def count_by(df: DataFrame, keys: Sequence[str], counted: str, name: str = "num"
 
 
 def averages(df: DataFrame, keys: Sequence[str], outputs: dict[str, tuple[str, str]]) -> DataFrame:
-    """``{output: (column, type)}`` averages per group."""
+    """``{output: (column, type)}`` averages per group, over the copies of each row."""
+    if COPIES not in df.columns:
+        means = {c: F.avg(c) for c, _ in outputs.values()}
+    else:
+        means = {c: _weighted_mean(df, c) for c, _ in outputs.values()}
     return df.groupBy(*keys).agg(
-        *(F.avg(c).try_cast(t).alias(name) for name, (c, t) in outputs.items())
+        *(means[c].try_cast(t).alias(name) for name, (c, t) in outputs.items())
     )
 
 
+def _weighted_mean(df: DataFrame, column: str) -> Column:
+    """What avg gives over the copies: four more decimals for a decimal, else a double."""
+    times = F.sum(F.when(F.col(column).isNotNull(), _weight(df)))
+    total = F.sum(F.col(column) * _weight(df))
+    kind = df.schema[column].dataType
+    if not isinstance(kind, T.DecimalType):
+        return total / times
+    return F.round(total.cast(T.DecimalType(28, kind.scale)) / times, kind.scale + 4)
+
+
 def extremes(
     df: DataFrame, keys: Sequence[str], column: str, high: str, low: str, data_type: str
 ) -> DataFrame:
@@ -50,9 +73,11 @@ def two_sided(
     rows = df.where(a_test | b_test)
     for k in required:
         rows = rows.where(F.col(k).isNotNull())
-    out = rows.groupBy(*keys).agg(
-        F.count_if(a_test).alias(a), F.count_if(b_test).alias(b)
-    )
+    sums = [
+        F.coalesce(F.sum(F.when(test, _weight(df))), F.lit(0)).cast("long").alias(name)
+        for name, test in (first, second)
+    ]
+    out = rows.groupBy(*keys).agg(*sums)
     if shared is not None:
         # the input here is one row per group, not one per record
         out = out.withColumn(b, F.sum(b).over(Window.partitionBy(*shared)))
@@ -75,7 +100,7 @@ def member_counts(
     a member that occurs often is one.
     """
     rows = df.where(F.col(member).isNotNull()).groupBy(*keys, member)
-    return rows.agg(F.count(F.lit(1)).alias(copies))
+    return rows.agg(F.sum(_weight(df)).cast("long").alias(copies))
 
 
 def member_lists(
@@ -88,7 +113,8 @@ def member_lists(
     ``buckets`` so that the largest group divided by it fits a row. Copies of a hot
     member are dealt in pieces. A group without any member has one empty list.
     """
-    counted = df.groupBy(*keys, member).agg(F.count(member).alias("_n"))
+    times = F.when(F.col(member).isNotNull(), _weight(df)).otherwise(0)
+    counted = df.groupBy(*keys, member).agg(F.sum(times).cast("long").alias("_n"))
     last = F.greatest(F.floor((F.col("_n") - 1) / PIECE), F.lit(0)).cast("long")
     pieces = counted.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     copies = F.least(F.lit(PIECE).cast("long"), F.col("_n") - F.col("_piece") * PIECE).cast("int")

@@ -87,7 +87,9 @@ def answer_wide(load: Load, dt: str, answer_grain: bool = False) -> DataFrame:
     """Answers of a day joined to all five dimensions (119 columns).
 
     The chapter dimension has a row per point and question, so each answer
-    appears once per such row; ``answer_grain`` keeps one row per answer.
+    appears once per such row. ``answer_grain``, the form that is stored, keeps one
+    row per answer, with the first of the points, and ``copies``, the number of
+    rows it stands for; the reports count it as that many.
     """
     answers = (
         read(load, "answer", dt)
@@ -109,7 +111,9 @@ def answer_wide(load: Load, dt: str, answer_grain: bool = False) -> DataFrame:
         "chapter_sequence", "chapter_status", "chapter_courseid"
     )
     if answer_grain:
-        chapter = one_per_key(chapter, ["chapterid", "dn"], ["pointid"])
+        keys = ["chapterid", "dn"]
+        copies = chapter.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+        chapter = one_per_key(chapter, keys, ["pointid"]).join(copies, keys)
     major = read(load, "major_dim", dt)
     paper = read(load, "paper_dim", dt).drop("courseid")
     # dimensions that may be too large to broadcast come first, while rows are
@@ -152,10 +156,21 @@ def ranked(
     n: int = 3,
     by_website: bool = False,
     columns: Sequence[str] = RANKED_COLUMNS,
+    points: DataFrame | None = None,
 ) -> DataFrame:
-    """Answers with the ``n`` best (or worst) distinct scores of every paper view."""
+    """Answers with the ``n`` best (or worst) distinct scores of every paper view.
+
+    Rows of one answer each are ranked as they are, and only those that are left
+    meet the points of their chapters, read from the chapter dimension.
+    """
     keys = ["paperviewid", "dn"] if by_website else ["paperviewid"]
-    out = top_levels(rows.select(*dict.fromkeys([*columns, *keys, "score"])), keys, "score", n, best)
+    own = [c for c in columns if points is None or c != "pointname"]
+    link = [] if points is None else ["chapterid", "dn"]
+    out = top_levels(
+        rows.select(*dict.fromkeys([*own, *keys, *link, "score"])), keys, "score", n, best
+    )
+    if points is not None:
+        out = out.join(known(points.select(*link, "pointname"), "chapterid"), link)
     head = [c for c in columns if c not in ("dt", "dn")]
     return out.select(*head, "rk", *(c for c in ("dt", "dn") if c in columns))
 

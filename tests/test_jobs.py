@@ -47,7 +47,7 @@ REPORTS = {
     "ads_user_paper_detail": "paper_pass_rate_service",
     "ads_user_question_detail": "question_error_rate",
     "dws_member": "wide_member",
-    "dws_user_paper_detail": "wide_answer",
+    "dws_user_paper_detail": "wide_answer_per_answer",
     **{t: f"dim_{t[7:]}" for t in jobs.exams.DIMENSIONS},
     **{t: f"ingest_{t}" for t in RAW},
 }
