@@ -358,10 +358,13 @@ def _round(model: Model, texts: DataFrame, spark) -> np.ndarray:
         )
 
     found = texts.mapInPandas(train, schema)
-    # first MERGED tasks at a time, then what has come of those
-    merged = found.groupBy("block", F.floor(F.col("task") / MERGED).alias("group")).applyInPandas(average, schema)
+    # MERGED tasks at a time, then as many of what has come of those; the few that are
+    # left, one for some 4,000 tasks, meet in the end
+    for _ in range(2):
+        group = F.floor(F.col("task") / MERGED).alias("group")
+        found = found.groupBy("block", group).applyInPandas(average, schema)
     weights = model.weights.copy()
-    for row in merged.groupBy("block").applyInPandas(average, schema).collect():
+    for row in found.groupBy("block").applyInPandas(average, schema).collect():
         own = slice(row["block"] * BLOCK, (row["block"] + 1) * BLOCK)
         n = np.frombuffer(row["met"]).reshape(BLOCK, SLOTS) > 0
         new = np.frombuffer(row["weights"], np.float32).reshape(BLOCK, SLOTS, WIDTH)

@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -198,8 +199,7 @@ def write_archives(
     twice. An empty table gives an empty index. Other columns are ignored.
     """
     small_batches(pages.sparkSession)
-    folder = folder or scratch_dir(pages.sparkSession)
-    uri = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+    uri = _uri(pages.sparkSession, folder or scratch_dir(pages.sparkSession))
     rows = _decided(pages, id_col, url_col, payload_col, min_bytes)
     kind = rows.schema["page_id"].dataType.simpleString()
 
@@ -226,6 +226,14 @@ def write_archives(
     return store(index), uri
 
 
+def _uri(spark, folder: str) -> str:
+    """The folder with scheme and host; one without belongs to the session's own file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    whole = files.makeQualified(path).toString()
+    return re.sub("^file:/+", "file:///", whole)
+
+
 def _ranges(rows: list[tuple[int, int]], gap: int, most: int) -> Iterator[list[tuple[int, int]]]:
     """Runs of sorted (offset, length) that are read in one go."""
     run: list[tuple[int, int]] = []
