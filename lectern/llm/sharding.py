@@ -126,10 +126,28 @@ def shard(
     Nulls count as smallest. Rows alike in those columns share their set of places
     among them. An empty table gives an empty result. Columns of the input with
     the names of the new ones are replaced.
+
+    Only the columns of the order are sorted. Where there are others, rows find
+    their place by their number in the table, in one join, so df must be a stored
+    table then, whose rows can be numbered alike twice.
     """
     if shards < 1:
         raise ValueError("shards must be positive")
-    numbered, place, total = number_rows(df, order_by or df.columns)
+    order_by = order_by or df.columns
+    others = [c for c in df.columns if c not in order_by and c not in (shard_col, slot_col)]
+    if not others:
+        return _placed(df.select(*order_by), shards, order_by, seed, shard_col, slot_col)
+    row = free_name(df.columns, "row")
+    numbered = df.withColumn(row, F.monotonically_increasing_id())
+    placed = _placed(numbered.select(*order_by, row), shards, order_by, seed, shard_col, slot_col)
+    placed = store(placed.select(row, shard_col, slot_col))
+    return numbered.drop(shard_col, slot_col).join(placed, row).drop(row)
+
+
+def _placed(
+    df: DataFrame, shards: int, order_by: list[str], seed: int, shard_col: str, slot_col: str
+) -> DataFrame:
+    numbered, place, total = number_rows(df, order_by)
     at = free_name(numbered.columns, "at")
     placed = numbered.withColumn(at, permute(F.col(place), total, seed))
     return (

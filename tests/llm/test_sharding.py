@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lectern.llm import sharding
+from lectern.llm.common import store
 
 
 @pytest.mark.parametrize("rows", [1, 2, 3, 7, 16, 17, 100, 1021])
@@ -12,7 +13,7 @@ def test_a_permutation(spark, rows):
 
 def test_shards_and_slots(spark):
     rows = [(k % 50, f"t{k % 7}", "x") for k in range(101)] + [(None, None, "y")] * 3
-    df = spark.createDataFrame(rows, "doc_id long, text string, shard string")
+    df = store(spark.createDataFrame(rows, "doc_id long, text string, shard string"))
     got = sharding.shard(df, 8, ["doc_id", "text"]).collect()
     by = {}
     for r in got:
@@ -21,9 +22,24 @@ def test_shards_and_slots(spark):
     assert sorted(by) == list(range(8)) and max(sizes) - min(sizes) <= 1
     assert all(sorted(x) == list(range(len(x))) for x in by.values())
     # another layout of the same rows gives the same result, up to rows that are alike
-    again = sharding.shard(df.repartition(7, "text"), 8, ["doc_id", "text"]).collect()
+    again = sharding.shard(store(df.repartition(7, "text")), 8, ["doc_id", "text"]).collect()
     assert sorted(map(repr, got)) == sorted(map(repr, again))
-    other = sharding.shard(df, 8, ["doc_id", "text"], seed=7).collect()
+
+
+def test_other_columns_follow_their_rows(spark):
+    rows = [(k % 50, f"t{k}", k) for k in range(101)] + [(None, None, None)]
+    df = store(spark.createDataFrame(rows, "doc_id long, text string, row long"))
+    narrow = sharding.shard(df.drop("row"), 8, ["doc_id", "text"]).collect()
+    wide = sharding.shard(df, 8, ["doc_id", "text"])
+    assert wide.columns == ["doc_id", "text", "row", "shard", "slot"]
+    got = wide.collect()
+    assert sorted((r["text"] or "", r["shard"], r["slot"]) for r in got) == sorted(
+        (r["text"] or "", r["shard"], r["slot"]) for r in narrow
+    )
+    assert all(r["row"] is None or r["text"] == f"t{r['row']}" for r in got)
+    again = sharding.shard(store(df.repartition(5)), 8, ["doc_id", "text"]).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, again))
+    other = sharding.shard(store(df), 8, ["doc_id", "text"], seed=7).collect()
     assert sorted(map(repr, got)) != sorted(map(repr, other))
 
 
