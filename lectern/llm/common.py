@@ -1,4 +1,4 @@
-"""What several operators share: stored steps, row ids, free column names, hash constants."""
+"""What several operators share: stored steps, batches, ids in tasks, column names, words."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lectern.session import scratch_dir
 
@@ -29,6 +30,25 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def for_pandas(df: DataFrame, column: str) -> tuple[DataFrame, str]:
+    """The frame with a whole-number column as text, and the column's type for the result.
+
+    pandas makes floats of whole numbers with nulls among them, which cannot hold large
+    ids. Cast back with ``from_pandas``.
+    """
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.IntegralType):
+        return df.withColumn(column, F.col(column).cast("string")), "string"
+    return df, kind.simpleString()
+
+
+def from_pandas(df: DataFrame, column: str, like: DataFrame) -> DataFrame:
+    """A column that went out as text in the type it had before."""
+    kind = like.schema[column].dataType
+    same = not isinstance(kind, T.IntegralType)
+    return df if same else df.withColumn(column, F.col(column).cast(kind))
+
+
 def free_name(taken: Iterable[str], wish: str) -> str:
     """A column name near the wish that the table does not have, whatever its case."""
     used = {x.lower() for x in taken}

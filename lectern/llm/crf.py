@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import small_batches, store
+from lectern.llm.common import for_pandas, from_pandas, small_batches, store
 
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
@@ -394,7 +394,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sure:
     spark = docs.sparkSession
     small_batches(spark)
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    scanned = store(_scan(narrow))
+    texts, kind = for_pandas(narrow, "id")
+    scanned = store(_scan(texts))
     sent = spark.sparkContext.broadcast(fit(scanned))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -415,9 +416,9 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sure:
                 all_out.append([(KINDS[k], a, b) for k, a, b in _order(base + more)])
             yield pd.DataFrame({"id": batch["id"], "base": _dicts(base_out), "spans": _dicts(all_out)})
 
-    kind = scanned.schema["id"].dataType.simpleString()
     span = "array<struct<kind:string,start:int,end:int>>"
-    return scanned.mapInPandas(run, f"id {kind}, base {span}, spans {span}")
+    found = scanned.mapInPandas(run, f"id {kind}, base {span}, spans {span}")
+    return from_pandas(found, "id", narrow)
 
 
 def _dicts(rows):

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import remainder, small_batches, store
+from lectern.llm.common import for_pandas, from_pandas, remainder, small_batches, store
 
 # most words whose counts are sent to the tasks
 HEAD = 1 << 17
@@ -128,7 +128,7 @@ class Model:
         self.class_bias = np.log(grouped / grouped.sum(axis=1, keepdims=True)).astype(np.float32)
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple]:
-        """Chunks of texts as arrays: ids, classes, words beyond the head with their places, lengths.
+        """Chunks of texts as arrays: ids, classes, places and words beyond the head, lengths.
 
         Each text begins with PAD end marks and ends with one; ids beyond the head are negative.
         """
@@ -245,7 +245,8 @@ class Model:
                     weights[row] -= step
 
     def score(self, texts):
-        """For each text: tokens, known head tokens, log10 sums of head counts and of the model, other words."""
+        """For each text: tokens, known head tokens, log10 sums of head counts and of the model,
+        and the other words."""
         ones = np.ones(WIDTH, np.float32)
         head_base = np.log10(self.counts + 1)
         head_share = head_base - np.log10(self.sizes[self.classes])
@@ -391,7 +392,7 @@ def score(docs: DataFrame, train: F.Column, id_col: str = "doc_id", text_col: st
     part = F.pmod(F.xxhash64("id", F.length("text")), F.lit(ROUNDS)).cast("int").alias("part")
     model, tail = fit(rows.where("train").select("text", part))
     sent = spark.sparkContext.broadcast(model)
-    kind = rows.schema["id"].dataType.simpleString()
+    narrow, kind = for_pandas(rows, "id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -407,13 +408,14 @@ def score(docs: DataFrame, train: F.Column, id_col: str = "doc_id", text_col: st
                 }
             )
 
-    partly = store(
-        rows.mapInPandas(
+    scored = (
+        narrow.mapInPandas(
             run,
             f"row long, id {kind}, train boolean, n long, known long, base double, own double,"
             " words array<string>, times array<long>",
         )
     )
+    partly = store(from_pandas(scored, "id", rows))
     single = partly.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
         "row", F.col("w.words").alias("word"), F.col("w.times").alias("times")
     )

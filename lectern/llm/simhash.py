@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import free_name, small_batches, store
+from lectern.llm.common import for_pandas, free_name, from_pandas, small_batches, store
 from lectern.llm.components import components
 
 SEED = 42
@@ -92,8 +92,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fps = np.array([fingerprint(t) for t in batch["text"]], dtype=np.uint64)
             yield pd.DataFrame({"id": batch["id"], "fp": fps.view(np.int64)})
 
-    kind = narrow.schema["id"].dataType.simpleString()
-    return narrow.mapInPandas(run, f"id {kind}, fp long")
+    sent, kind = for_pandas(narrow, "id")
+    return from_pandas(sent.mapInPandas(run, f"id {kind}, fp long"), "id", narrow)
 
 
 def _posting_keys(fp) -> F.Column:

@@ -15,8 +15,6 @@ merged per query.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -104,20 +102,21 @@ def _cell(key, left: pd.DataFrame, right: pd.DataFrame, k: int) -> pd.DataFrame:
         a, b = (x[x["vector"].map(len) == size].reset_index(drop=True) for x in (left, right))
         qv, cv = (np.stack(x["vector"].to_list()).astype(np.int64).reshape(len(x), size) for x in (a, b))
         # candidates without an id come last among equals
-        ids = b["id"].fillna(np.iinfo(np.int64).max).to_numpy(dtype=np.int64)
+        ids = np.where(b["no_id"], np.iinfo(np.int64).max, b["id"])
         q, v, s = search(qv, a["row"].to_numpy(), cv, b["row"].to_numpy(), ids, k)
         out.append(
             pd.DataFrame(
                 {
                     "query_row": a["row"].to_numpy()[q],
                     "query_id": a["id"].to_numpy()[q],
-                    "vec_id": b["id"].astype("Int64").array[v],
+                    "vec_id": b["id"].to_numpy()[v],
+                    "no_id": b["no_id"].to_numpy()[v],
                     "vec_row": b["row"].to_numpy()[v],
                     "score": s,
                 }
             )
         )
-    columns = ["query_row", "query_id", "vec_id", "vec_row", "score"]
+    columns = ["query_row", "query_id", "vec_id", "no_id", "vec_row", "score"]
     return pd.concat(out) if out else pd.DataFrame(columns=columns)
 
 
@@ -133,7 +132,11 @@ def top_k(vectors: DataFrame, is_query: F.Column, k: int = TOP) -> DataFrame:
     """
     rows = store(
         vectors.where(F.col("vector").isNotNull()).select(
-            F.monotonically_increasing_id().alias("row"), "id", "vector",
+            F.monotonically_increasing_id().alias("row"),
+            # pandas has no whole numbers with nulls
+            F.coalesce("id", F.lit(0)).cast("long").alias("id"),
+            F.col("id").isNull().alias("no_id"),
+            "vector",
             F.coalesce(is_query, F.lit(False)).alias("query"),
         )
     )
@@ -141,12 +144,13 @@ def top_k(vectors: DataFrame, is_query: F.Column, k: int = TOP) -> DataFrame:
     slices, groups = max(1, -(-count[0] // SLICE_ROWS)), max(1, -(-count[1] // GROUP_ROWS))
     spread = F.xxhash64("row")
     candidates = rows.select(
-        "row", "id", "vector",
+        "row", "id", "no_id", "vector",
         F.pmod(spread, F.lit(slices)).alias("slice"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("grp"),
     )
+    # aliases, so that the two sides of the cogroup share no column of the plan
     queries = rows.where("query").select(
-        "row", "id", "vector",
+        *(F.col(c).alias(c) for c in ("row", "id", "no_id", "vector")),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))).alias("slice"),
         F.pmod(spread, F.lit(groups)).alias("grp"),
     )
@@ -157,7 +161,11 @@ def top_k(vectors: DataFrame, is_query: F.Column, k: int = TOP) -> DataFrame:
     found = (
         queries.groupBy("slice", "grp")
         .cogroup(candidates.groupBy("slice", "grp"))
-        .applyInPandas(run, "query_row long, query_id long, vec_id long, vec_row long, score long")
+        .applyInPandas(
+            run,
+            "query_row long, query_id long, vec_id long, no_id boolean, vec_row long, score long",
+        )
+        .withColumn("vec_id", F.when(~F.col("no_id"), F.col("vec_id")))
     )
     order = Window.partitionBy("query_row").orderBy(
         F.desc("score"), F.asc_nulls_last("vec_id"), "vec_row"

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import free_name, small_batches, store
+from lectern.llm.common import for_pandas, free_name, from_pandas, small_batches, store
 
 WINDOW = 13
 K = 8
@@ -223,12 +223,13 @@ def _scan(docs: DataFrame, items: list[tuple[str | None, str | None]], window: i
                 }
             )
 
-    kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInPandas(
+    narrow, kind = for_pandas(docs, "id")
+    found = narrow.mapInPandas(
         run,
         f"id {kind}, row long, n_words long, starts array<long>, ends array<long>,"
         " items array<string>",
     )
+    return from_pandas(found, "id", docs)
 
 
 def _merge(starts: pd.Series, ends: pd.Series) -> pd.Series:

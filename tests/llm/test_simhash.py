@@ -82,6 +82,13 @@ def test_one_row_stays(spark):
     assert sorted(r[0] for r in kept.collect()) == [3, 5, 7]
 
 
+def test_large_ids_stay_exact_beside_nulls(spark):
+    big = 2**62 + 1
+    docs = spark.createDataFrame([(big, "a b c"), (None, "x y z"), (big + 1, "q")], "doc_id long, text string")
+    got = {r[0] for r in simhash.near_duplicates(docs).collect()}
+    assert got == {big, big + 1, None}
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(docs).count() == 0

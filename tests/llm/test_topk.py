@@ -23,6 +23,7 @@ def vectors(seed, dim=10, big=1):
     rng = np.random.default_rng(seed)
     rows = [(int(i), [int(x) * big for x in rng.integers(-6, 7, dim)]) for i in range(160)]
     rows += [(200 + i, rows[0][1]) for i in range(30)]  # ties
+    rows += [(2**60 + 5, rows[2][1]), (2**60 + 6, rows[2][1])]
     rows += [(15, rows[3][1]), (15, rows[3][1]), (None, rows[4][1]), (300, None), (305, [1, 2]), (306, [2, 1]), (310, [])]
     return rows
 
