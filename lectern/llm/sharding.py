@@ -20,6 +20,8 @@ from lectern.llm.common import free_name, store
 ROUNDS = 4
 SEED = 42
 SHARDS = 16
+# neighbouring rows that are moved together, as a power of two
+RUN_BITS = 6
 # bits that monotonically_increasing_id gives to the row within its partition
 _WITHIN = (1 << 33) - 1
 
@@ -140,8 +142,20 @@ def shard(
     row = free_name(df.columns, "row")
     numbered = df.withColumn(row, F.monotonically_increasing_id())
     placed = _placed(numbered.select(*order_by, row), shards, order_by, seed, shard_col, slot_col)
-    placed = store(placed.select(row, shard_col, slot_col))
-    return numbered.drop(shard_col, slot_col).join(placed, row).drop(row)
+    # rows travel in runs of 64 neighbours, so that copies stay together and pack well
+    run, places = free_name(df.columns, "run"), free_name(df.columns, "places")
+    of_run = F.shiftright(row, RUN_BITS).alias(run)
+    place = F.struct(F.col(shard_col).alias("shard"), F.col(slot_col).alias("slot"))
+    listed = placed.groupBy(of_run).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col(row), place))).alias(places)
+    )
+    found = numbered.drop(shard_col, slot_col).withColumn(run, F.shiftright(row, RUN_BITS))
+    at = F.element_at(places, F.col(row))
+    return found.join(store(listed), run).select(
+        *(c for c in df.columns if c not in (shard_col, slot_col)),
+        at["shard"].alias(shard_col),
+        at["slot"].alias(slot_col),
+    )
 
 
 def _placed(
