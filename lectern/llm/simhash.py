@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm.common import for_pandas, free_name, from_pandas, small_batches, store
 from lectern.llm.components import components
+from lectern.llm.similar import similar_groups
 
 SEED = 42
 SHINGLE = 4
@@ -195,22 +196,31 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with one row of each component: the one with the smallest id.
+    """The documents with one row of each group of near duplicates: the one with the smallest id.
 
-    Of rows with equal ids, and of rows without an id, the first in the order of
+    Near duplicates share 0.8 or more of their five-word shingles (Jaccard), as
+    ``similar_groups`` finds them without loss; the fingerprints and bits of op1 play no
+    part. Of rows with equal ids, and of rows without an id, the first in the order of
     the table counts as smallest; a null id comes after all others. docs must be a
     stored table, whose rows can be numbered alike twice. Columns are those of the
     input.
     """
     row = free_name(docs.columns, "row")
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    whole = F.struct(
-        F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.col(row).alias("row")
+    texts = numbered.select(F.col(row).alias("row"), F.col(text_col).cast("string").alias("text"))
+    ids = numbered.select(
+        F.col(row).alias("row"),
+        F.struct(
+            F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.col(row).alias("row")
+        ).alias("id"),
     )
-    marked = near_duplicates(
-        numbered.select(whole.alias("id"), F.col(text_col).alias("text")), "id", "text"
+    chosen = store(
+        similar_groups(texts)
+        .join(ids, "row")
+        .groupBy("group")
+        .agg(F.min("id").alias("id"))
+        .select(F.col("id.row").alias(row))
     )
-    chosen = store(marked.where("id = component").select(F.col("id.row").alias(row)))
     return numbered.join(chosen, row, "left_semi").select(*docs.columns)
 
 
