@@ -7,7 +7,7 @@ P(class | context) is a softmax over groups of classes times one over the classe
 of the group, whose weights are summed from hashed features of the context (the word before, the pair of classes before, the
 word two back, the pair of classes three and four back), and the share is
 (count + 1) over the same sum for the class, which holds one more for all words
-never seen.
+never seen. The share has no features: words within a class have no context.
 
 Counts cover all training texts. Weights are trained by gradient steps on the
 executors: each task goes through its part of the texts in small batches, and
