@@ -12,8 +12,8 @@ while fresh words would do.
 The flow gives each pattern a number of words. Whole passes over the pattern are
 taken first; the rest is drawn document by document in an order seeded by a hash.
 The place where the rest ends is found from sums over hash buckets, so no task
-sees more of a large pattern than one bucket, and what the last document leaves
-open is filled with documents that follow in the order and fit.
+sees more of a large pattern than one bucket. What the last document leaves open is
+drawn for again from all documents that fit in it, until none does.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from __future__ import annotations
 import json
 from collections import deque
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,8 +36,6 @@ WEIGHTS = (5.0, 2.0, 1.0)
 STEPS = 8
 # hash buckets in which sums are kept per pattern
 BUCKETS = 4096
-# rows per pattern that are tried, after the draw, to fill what is left of its words
-FILLERS = 256
 # most membership patterns the driver routes; more are refused, not cut
 MAX_PATTERNS = 100_000
 
@@ -160,7 +159,7 @@ def mix(
     docs, a stored table. report has (source, source_size, target, given).
     Targets share `share` times all words by weight and stop at `repeats` times the
     source. A pattern's words are never exceeded, and missed by less than the smallest
-    of the documents that follow in the order. A null or
+    of its documents that are not drawn. A null or
     blank text has size 0 and counts as taken whole passes only. Equal ids and
     repeated rows are documents of their own; the result depends on ids, sizes and
     the seed, and for equal ids on the order of the table. An empty table gives
@@ -207,59 +206,60 @@ def mix(
 def _draw(rows: DataFrame, quota: DataFrame) -> DataFrame:
     """Copies of each row: the whole passes of its pattern, and one more for those drawn."""
     # quota has a row per pattern, of which there are MAX_PATTERNS at most
-    sums = rows.join(F.broadcast(quota), "pattern").where("rest > 0")
+    marked = rows.join(F.broadcast(quota), "pattern", "left").withColumns(
+        {"full": F.coalesce("full", F.lit(0)), "gap": F.coalesce("rest", F.lit(0))}
+    )
+    drawn = store(_in_order(marked))
+    # what the draw leaves open is drawn for again from the rows that fit in, until none does;
+    # the row that ends a pass is longer than what is left and takes no part in the next
+    left, filled = _fitting(drawn), []
+    while not left.isEmpty():
+        taken = store(_in_order(left))
+        filled.append(taken.where("drawn").select("row", F.lit(1).alias("filler")))
+        left = _fitting(taken)
+    once_more = F.col("drawn").cast("int")
+    if filled:
+        drawn = drawn.join(reduce(DataFrame.unionByName, filled), "row", "left")
+        once_more = F.when(F.col("drawn") | F.col("filler").isNotNull(), 1).otherwise(0)
+    return drawn.select(
+        "row", "id", "size", "pattern", (F.col("full") + once_more).cast("long").alias("copies")
+    )
+
+
+def _in_order(rows: DataFrame) -> DataFrame:
+    """The rows with drawn: whether they come before the sum of sizes passes the gap of their pattern."""
     upto = Window.partitionBy("pattern").orderBy("bucket")
+    # a pattern whose rows all fit has no cut; one without a gap gives nothing
     cuts = store(
-        sums.groupBy("pattern", "bucket")
-        .agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
+        rows.where("gap > 0")
+        .groupBy("pattern", "bucket")
+        .agg(F.sum("size").alias("words"), F.first("gap").alias("gap"))
         .withColumn("upto", F.sum("words").over(upto))
-        .where("upto >= rest and upto - words < rest")
+        .where("upto >= gap and upto - words < gap")
         .select("pattern", F.col("bucket").alias("cut"), (F.col("upto") - F.col("words")).alias("before"))
     )
-    of_pattern = quota.join(F.broadcast(cuts), "pattern", "left")
-    marked = rows.join(F.broadcast(of_pattern), "pattern", "left").withColumns(
-        {"full": F.coalesce("full", F.lit(0)), "cut": F.coalesce("cut", F.lit(-1))}
+    marked = rows.join(F.broadcast(cuts), "pattern", "left").withColumn(
+        "cut", F.when(F.col("gap") > 0, F.coalesce("cut", F.lit(BUCKETS))).otherwise(-1)
     )
     sure = marked.where("bucket <> cut").withColumn("drawn", F.expr("bucket < cut"))
     # rows of one bucket of each pattern
     order = Window.partitionBy("pattern").orderBy("order", "id", "row")
     border = (
         marked.where("bucket = cut")
-        .withColumn("drawn", F.col("before") + F.sum("size").over(order) <= F.col("rest"))
-    )
-    drawn = store(sure.unionByName(border))
-    gaps = drawn.groupBy("pattern").agg(
-        F.coalesce(F.first("rest"), F.lit(0)).alias("rest"),
-        F.sum(F.when(F.col("drawn"), F.col("size")).otherwise(0)).alias("got"),
+        .withColumn("drawn", F.col("before") + F.sum("size").over(order) <= F.col("gap"))
     )
-    open_ = gaps.where("rest > got").select("pattern", (F.col("rest") - F.col("got")).alias("gap"))
-    # the next FILLERS rows that would fit, largest first, as long as they still fit
-    following = (
-        drawn.where("not drawn and size > 0")
-        .join(F.broadcast(open_), "pattern")
+    return sure.unionByName(border).drop("cut", "before")
+
+
+def _fitting(drawn: DataFrame) -> DataFrame:
+    """The rows not drawn that fit in what is left of their pattern's gap, with that as their gap."""
+    got = drawn.where("drawn").groupBy("pattern").agg(F.sum("size").alias("got"))
+    return store(
+        drawn.where("not drawn and size > 0 and gap > 0")
+        .join(F.broadcast(got), "pattern", "left")
+        .withColumn("gap", F.col("gap") - F.coalesce("got", F.lit(0)))
         .where("size <= gap")
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= FILLERS)
-    )
-    added = (
-        following.groupBy("pattern")
-        .agg(
-            F.first("gap").alias("gap"),
-            F.sort_array(F.collect_list(F.struct("size", "order", "row")), asc=False).alias("next"),
-        )
-        .withColumn(
-            "fit",
-            F.expr(
-                "aggregate(next, named_struct('gap', gap, 'rows', cast(array() as array<bigint>)),"
-                " (a, x) -> if(x.size <= a.gap,"
-                " named_struct('gap', a.gap - x.size, 'rows', array_append(a.rows, x.row)), a))"
-            ),
-        )
-        .select(F.explode("fit.rows").alias("row"), F.lit(1).alias("filler"))
-    )
-    once_more = F.when(F.col("drawn") | F.col("filler").isNotNull(), 1).otherwise(0)
-    return drawn.join(store(added), "row", "left").select(
-        "row", "id", "size", "pattern", (F.col("full") + once_more).cast("long").alias("copies")
+        .select("row", "id", "size", "pattern", "order", "bucket", "gap")
     )
 
 

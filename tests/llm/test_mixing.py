@@ -92,3 +92,15 @@ def test_empty(spark, docs):
     assert rows.count() == 0 and report.count() == 0
     with pytest.raises(ValueError):
         mixing.mix(docs, F.array("source"), max_patterns=2)
+
+
+def test_long_document_leaves_no_gap(spark):
+    """A document too long for what is left must not end the draw, however many short ones follow."""
+    rows = [(k, "w " * 100, "s") for k in range(3000)] + [(3000, "w " * 200_000, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    # an order in which the long one comes soon after the middle
+    place = F.pmod(F.xxhash64(F.col("id").cast("int"), F.lit(3000).cast("long"), F.lit(200_000).cast("long")), F.lit(mixing.BUCKETS))
+    seed = spark.range(200).where(place.between(2150, 2600)).first()[0]
+    taken, _ = mixing.mix(docs, F.array("source"), share=0.7, seed=seed)
+    got = {r["id"]: r["copies"] for r in taken.collect()}
+    assert got[3000] == 0 and all(got[k] == 1 for k in range(3000))
