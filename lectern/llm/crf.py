@@ -7,7 +7,7 @@ potentials are
   the phone pattern hangs on),
 - chain links between tokens with nothing but blanks between them,
 - skip links between a token and the next one in the document with the same key:
-  the same digits, or the last digits of a longer number, or the same address.
+  the same digits, or the last digits of a longer number, or the same mail or IP address.
 Tokens of base spans are clamped to their kind. Loopy message passing carries
 that along chain and skip links, so that a number written once in full and later
 without its prefix gets the same label in both places. What the field labels
@@ -40,14 +40,16 @@ NONE = LABELS  # a neighbour that is not there
 SHAPES = 1024
 SURE = 0.9
 SWEEPS = 20
-# digits of a key; shorter numbers repeat by chance
+# digits of the key of a phone or card number; shorter numbers repeat by chance
 KEY_DIGITS = 7
 
 _DIGIT = re.compile("[0-9]")
+_DIGITS = re.compile("[0-9]+")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 # starts at the first digit of a run only: a match never begins later in it
 _IP = re.compile(r"[0-9](?<![0-9][0-9])[0-9]*+\.[0-9]++\.[0-9]++\.[0-9]++")
+_QUAD = re.compile(r"[0-9]{1,3}(?:[\[(]?\.[\])]?[0-9]{1,3}){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _MARK = re.compile("[0-9@]")
@@ -140,9 +142,17 @@ def shape(token: str) -> int:
     return zlib.crc32("|".join(form).encode("utf-8", "replace")) % SHAPES
 
 
+def _quad(token: str) -> str:
+    """The four parts of an IP address, however its dots are bracketed; empty for other tokens."""
+    parts = [int(p) for p in _DIGITS.findall(token)] if _QUAD.fullmatch(token) else []
+    return "{}.{}.{}.{}".format(*parts) if parts and max(parts) <= 255 else ""
+
+
 def _key(token: str) -> str:
     if "@" in token:
         return token.lower()
+    if quad := _quad(token):
+        return quad
     digits = _digits(token)
     return digits[-KEY_DIGITS:] if len(digits) >= KEY_DIGITS else ""
 
@@ -152,7 +162,7 @@ def _allowed(token: str) -> int:
     if "@" in token:
         return 1 << 0 | 1 << OTHER
     bits = 1 << OTHER
-    if re.fullmatch(r"[0-9]{1,3}(?:[\[(]?\.[\])]?[0-9]{1,3}){3}", token):
+    if _QUAD.fullmatch(token):
         bits |= 1 << 1
     if re.fullmatch(r"[0-9][0-9./-]*", token):
         bits |= 1 << 2
@@ -183,7 +193,7 @@ def graph(text: str, base: list[tuple[int, int, int]]) -> dict[str, list[int]]:
         chained = last >= 0 and text[last:start].isspace()
         # digits of a number written in several tokens belong to one key
         whole = token
-        if chained and "@" not in token:
+        if chained and "@" not in token and not _quad(token):
             whole = text[out["start"][-1] : end]
         key = _key(whole) or _key(token)
         number = len(out["start"])

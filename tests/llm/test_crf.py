@@ -108,3 +108,10 @@ def test_empty(spark):
     assert crf.find(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     field = crf.Field.fit(pd.DataFrame(columns=["shape", "before", "after", "linked", "label", "n"]))
     assert field.node.shape == (crf.SHAPES, crf.LABELS)
+
+
+def test_short_ip_addresses_are_linked():
+    """Fewer than seven digits, written with and without brackets, also behind another number."""
+    text = "10.0.0.1 and 8.8.8.8 then 10.0.0[.]1 or 12345 10.0.0.1 not 10.0.0.2 nor 10001 but 8.8.8.8"
+    nodes = crf.graph(text, crf.base_spans(text))
+    assert nodes["skip"] == [-1, -1, 0, -1, 2, -1, -1, 1]
