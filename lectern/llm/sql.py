@@ -50,22 +50,33 @@ def _network(source: str) -> str:
 
 
 # DuckDB has no crc32: a table of the reflected polynomial, then one step per byte
-OP4 = f"""
-WITH RECURSIVE t AS (
+_CRC_TABLE = """
+t AS (
   SELECT list(list_reduce(
            list_prepend(k, CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
            lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
          ) ORDER BY k) AS t
   FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS k)
-),
+)
+"""
+
+
+def _crc32(text: str) -> str:
+    return f"""
+xor(4294967295, list_reduce(
+  list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+    regexp_extract_all(hex(encode({text})), '..'),
+    lambda h: CAST('0x' || h AS BIGINT))),
+  lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)])
+))
+"""
+
+
+OP4 = f"""
+WITH RECURSIVE {_CRC_TABLE},
 d AS (
   SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
-         xor(4294967295, list_reduce(
-           list_prepend(CAST(4294967295 AS BIGINT), list_transform(
-             regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
-             lambda h: CAST('0x' || h AS BIGINT))),
-           lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)])
-         )) AS text_crc32
+         {_crc32("coalesce(text, '')")} AS text_crc32
   FROM documents, t
 ),
 n AS (SELECT count(*) AS n, CAST(floor(sqrt(count(*) - 1)) AS BIGINT) + 1 AS a FROM d),
@@ -148,3 +159,68 @@ FROM (
 )
 GROUP BY ALL
 """
+
+
+def _field(column: str) -> str:
+    text = f"CAST({column} AS VARCHAR)"
+    return f"coalesce(octet_length(encode({text})) || ':' || {text}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    parts = ("doc_id", "source", "lang", n_chars, "text")
+    return f"sha256({' || '.join(_field(c) for c in parts)})"
+
+
+# trees grow level by level: `grp` is a language, or '' for the tree of their roots
+OP13 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS grp, {_leaf("n_chars")} AS leaf,
+         CASE WHEN {_crc32("CAST(coalesce(CAST(doc_id AS VARCHAR), '') AS VARCHAR)")} % 7 = 0
+              THEN {_leaf("(n_chars + 1)")} ELSE {_leaf("n_chars")} END AS changed
+  FROM documents, t
+),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY grp) AS n
+  FROM d
+),
+tree AS (
+  SELECT grp, 0 AS level, pos, n, leaf AS h FROM p
+  UNION ALL
+  SELECT grp, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM tree WHERE n > 1 GROUP BY grp, level, pos // 2, n
+),
+tops AS (
+  SELECT grp, h AS subroot, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n
+  FROM tree WHERE n = 1
+),
+crown AS (
+  SELECT 0 AS level, pos, n, subroot AS h FROM tops
+  UNION ALL
+  SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM crown WHERE n > 1 GROUP BY level, pos // 2, n
+),
+walk AS (
+  SELECT doc_id, grp, leaf, pos AS id, 0 AS level, pos, n, changed AS h, '' AS proof FROM p
+  UNION ALL
+  SELECT doc_id, w.grp, leaf, id, w.level + 1, w.pos // 2, (w.n + 1) // 2,
+         sha256(CASE WHEN w.pos % 2 = 1 THEN s.h || w.h ELSE w.h || coalesce(s.h, '') END),
+         proof || coalesce(s.h, '')
+  FROM walk w LEFT JOIN tree s ON s.grp = w.grp AND s.level = w.level AND s.pos = xor(w.pos, 1)
+  WHERE w.n > 1
+),
+up AS (
+  SELECT doc_id, w.grp, leaf, id, subroot, 0 AS level, t.pos, t.n, h, proof
+  FROM walk w JOIN tops t ON t.grp = w.grp WHERE w.n = 1
+  UNION ALL
+  SELECT doc_id, grp, leaf, id, subroot, w.level + 1, w.pos // 2, (w.n + 1) // 2,
+         sha256(CASE WHEN w.pos % 2 = 1 THEN s.h || w.h ELSE w.h || coalesce(s.h, '') END),
+         proof || coalesce(s.h, '')
+  FROM up w LEFT JOIN crown s ON s.level = w.level AND s.pos = xor(w.pos, 1)
+  WHERE w.n > 1
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, u.h AS folded_root,
+       u.h = root AS verified
+FROM up u, (SELECT h AS root FROM crown WHERE n = 1) WHERE u.n = 1
+"""

@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_operators_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.SQL) <= set(queries.QUERIES)
     assert {*queries.QUERIES, "pipeline"} <= set(contract.queries())
 
