@@ -37,11 +37,13 @@ from lectern.llm.common import for_pandas, from_pandas, small_batches, store
 CAPACITY = 2048
 VOCABULARY = "byte_bpe_50k.json"
 END = 0
-# chunks whose ids a task remembers
-REMEMBERED = 1 << 18
+# chunks whose ids a worker remembers, some 200 bytes each
+REMEMBERED = 1 << 20
 
 # a blank between a visible character and a letter, of ASCII or Latin-1: byte-level BPE always starts a token there
 _SEAM = re.compile("(?<=[!-~À-ÖØ-öø-ÿ]) (?=[A-Za-zÀ-ÖØ-öø-ÿ])")
+# a chunk that has a seam on both sides wherever it stands
+_INNER = re.compile("(?s: [A-Za-zÀ-ÖØ-öø-ÿ].*(?<=[!-~À-ÖØ-öø-ÿ]))")
 
 
 # token ids
@@ -51,7 +53,8 @@ class Encoder:
     """Ids of whole texts by a byte-level BPE vocabulary, chunk by chunk.
 
     Tokens never cross a seam, so the ids of a text are those of its chunks, one
-    after the other; a chunk that came before is not encoded again.
+    after the other. New chunks are encoded together, as one text with a seam
+    between any two; those that came before are not encoded again.
     """
 
     def __init__(self, path: str):
@@ -60,20 +63,38 @@ class Encoder:
         # executors give a task one core
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        # a token of a byte-level vocabulary is written with one character per byte
+        self.bytes = np.zeros(self.tokenizer.get_vocab_size(), dtype=np.int64)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.bytes[number] = len(token)
         self.known: dict[str, bytes] = {}
 
-    def encode(self, text: str) -> np.ndarray:
-        first, *rest = _SEAM.split(text)
-        chunks = [first, *(" " + c for c in rest)]
-        new = set(chunks).difference(self.known)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        split = []
+        for text in texts:
+            first, *rest = _SEAM.split(text)
+            split.append([first, *(" " + c for c in rest)])
+        new = set().union(*split).difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
-            self.known, new = {}, set(chunks)
-        if new:
-            names = list(new)
-            found = self.tokenizer.encode_batch_fast(names, add_special_tokens=False)
-            for chunk, e in zip(names, found, strict=True):
-                self.known[chunk] = np.array(e.ids, dtype="<u4").tobytes()
-        return np.frombuffer(b"".join([self.known[c] for c in chunks]), dtype="<u4")
+            self.known, new = {}, set().union(*split)
+        self._learn(new)
+        return [np.frombuffer(b"".join([self.known[c] for c in chunks]), dtype="<u4") for chunks in split]
+
+    def _learn(self, chunks: set[str]) -> None:
+        # the last chunk of a text may end in anything
+        inner = [c for c in chunks if _INNER.fullmatch(c)]
+        if inner:
+            found = self.tokenizer.encode_batch_fast(["".join(inner)], add_special_tokens=False)[0]
+            ids = np.array(found.ids, dtype="<u4")
+            ends = np.cumsum(self.bytes[ids])
+            at = np.searchsorted(ends, np.cumsum([len(c.encode()) for c in inner])) + 1
+            start = 0
+            for chunk, end in zip(inner, at.tolist(), strict=True):
+                self.known[chunk] = ids[start:end].tobytes()
+                start = end
+        others = [c for c in chunks if c not in self.known]
+        for chunk, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
+            self.known[chunk] = np.array(e.ids, dtype="<u4").tobytes()
 
 
 @lru_cache(maxsize=1)
@@ -101,8 +122,9 @@ def pieces(docs: DataFrame, path: str, id_col: str, text_col: str, capacity: int
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
             out = []
-            for key, text in zip(batch["id"], batch["text"], strict=True):
-                ids = np.concatenate((encode(text or ""), end))
+            found = encode([text or "" for text in batch["text"]])
+            for key, own in zip(batch["id"], found, strict=True):
+                ids = np.concatenate((own, end))
                 for number, (start, length) in enumerate(cuts(len(ids), capacity)):
                     crc = zlib.crc32(ids[start : start + length].tobytes())
                     out.append((key, number, start, length, crc, task, seen[length]))

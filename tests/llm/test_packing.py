@@ -27,12 +27,13 @@ ODD = [
 def test_chunks_give_the_ids_of_the_whole(spark, monkeypatch):
     encoder = Encoder(PATH)
     rows = [r[0] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
-    for text in ODD + rows:
-        assert [*encoder.encode(text or "").tolist(), 0] == ids(text)
+    texts = [t or "" for t in ODD + rows]
+    for text, got in zip(texts, encoder.encode(texts), strict=True):
+        assert [*got.tolist(), 0] == ids(text)
     # texts are right also when chunks are forgotten in between
     monkeypatch.setattr(packing, "REMEMBERED", 3)
     for text in ODD:
-        assert [*encoder.encode(text or "").tolist(), 0] == ids(text)
+        assert [*encoder.encode([text or ""])[0].tolist(), 0] == ids(text)
 
 
 def test_cuts():
