@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import store
+from lectern.llm.common import Steps, store
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,18 +21,23 @@ def components(edges: DataFrame) -> DataFrame:
     edges: columns a, b of one type, in either direction, repeats and loops
     allowed; an edge with a null end is no edge.
     """
+    with Steps(edges.sparkSession) as step:
+        return store(_contracted(edges, step))
+
+
+def _contracted(edges: DataFrame, step: Steps) -> DataFrame:
     edges = edges.select("a", "b").where("a is not null and b is not null and a <> b").distinct()
-    edges = store(edges)
+    edges = step(edges)
     parts = []
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("b"))
-        links = store(least.select(F.col("a").alias("node"), F.col("b").alias("root")))
-        links = _to_ends(links)
+        links = step(least.select(F.col("a").alias("node"), F.col("b").alias("root")))
+        links = _to_ends(links, step)
         parts.append(links)
         ends_a = links.select(F.col("node").alias("a"), F.col("root").alias("to_a"))
         ends_b = links.select(F.col("node").alias("b"), F.col("root").alias("to_b"))
-        edges = store(
+        edges = step(
             edges.join(ends_a, "a")
             .join(ends_b, "b")
             .where("to_a <> to_b")
@@ -47,14 +52,14 @@ def components(edges: DataFrame) -> DataFrame:
         found = found.join(after, "root", "left").select(
             "node", F.coalesce("next", "root").alias("root")
         )
-    return store(found)
+    return found
 
 
-def _to_ends(links: DataFrame) -> DataFrame:
+def _to_ends(links: DataFrame, step: Steps) -> DataFrame:
     """Follow links, doubling the step each time; links always lead to smaller nodes."""
     while True:
         after = links.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        longer = store(
+        longer = step(
             links.join(after, "root", "left").select(
                 "node",
                 F.coalesce("next", "root").alias("root"),
