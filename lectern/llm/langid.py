@@ -97,8 +97,9 @@ def profiles(labelled: DataFrame, lang_col: str, text_col: str, size: int = PROF
         .agg(F.sum("n").alias("n"))
     )
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    best = counted.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < size)
-    return best.select("lang", "gram", "rank")
+    # the rank is filtered as it is, so that Spark cuts each task to it before the shuffle
+    best = counted.withColumn("place", F.row_number().over(order)).where(F.col("place") <= size)
+    return best.select("lang", "gram", (F.col("place") - 1).alias("rank"))
 
 
 class Identifier:
