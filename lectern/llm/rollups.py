@@ -120,17 +120,22 @@ class Rollup:
         names = [unquote(s.getPath().getName()) for s in files.listStatus(where)]
         return sorted(n for n in names if self._complete(f"{self.folder}/{kind}/{quote(n, safe='')}"))
 
-    def _base(self) -> tuple[str | None, set[str]]:
+    def _base(self) -> tuple[str | None, DataFrame]:
+        """The newest base and the batches it holds, as a stored table."""
         bases = self._names("base")
         if not bases:
-            return None, set()
-        listed = self.spark.read.schema("batch string").parquet(f"{self.folder}/lists/{bases[-1]}")
-        return bases[-1], {r["batch"] for r in listed.collect()}
+            return None, self.spark.createDataFrame([], "batch string")
+        return bases[-1], self.spark.read.schema("batch string").parquet(f"{self.folder}/lists/{bases[-1]}")
+
+    def _open(self, listed: DataFrame) -> list[str]:
+        """Batches with a folder that the base does not hold."""
+        there = self.spark.createDataFrame([(n,) for n in self._names("batches")], "batch string")
+        return sorted(r["batch"] for r in there.join(listed, "batch", "left_anti").collect())
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Store the changes of a batch, once; False if the batch was there already."""
         path = f"{self.folder}/batches/{quote(batch, safe='')}"
-        if self._complete(path) or batch in self._base()[1]:
+        if self._complete(path) or not self._base()[1].where(F.col("batch") == batch).isEmpty():
             return False
         _sum(changes).where("docs <> 0 or tokens <> 0").write.mode("overwrite").parquet(path)
         return True
@@ -138,29 +143,42 @@ class Rollup:
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer, docs, tokens) over all batches; keys that come to 0 are gone."""
         base, listed = self._base()
+        return self._totals(base, self._open(listed))
+
+    def _totals(self, base: str | None, batches: list[str]) -> DataFrame:
         paths = [f"{self.folder}/base/{base}"] if base else []
-        paths += [
-            f"{self.folder}/batches/{quote(b, safe='')}"
-            for b in self._names("batches")
-            if b not in listed
-        ]
+        paths += [f"{self.folder}/batches/{quote(b, safe='')}" for b in batches]
         if not paths:
             return self.spark.createDataFrame([], SCHEMA)
         rows = self.spark.read.schema(SCHEMA).parquet(*paths)
         return _sum(rows).where("docs <> 0 or tokens <> 0")
 
     def compact(self) -> None:
-        """Sum all batches into a new base. Old folders may be deleted when no reader uses them."""
+        """Sum all batches into a new base; one compaction at a time.
+
+        What is summed is what is listed: a batch committed meanwhile stays a batch of
+        its own. Old folders may be deleted by ``clean`` when no reader uses them.
+        """
         base, listed = self._base()
-        batches = sorted({*listed, *self._names("batches")})
+        batches = self._open(listed)
         name = f"{int(base) + 1 if base else 0:08d}"
-        rows = self.totals()
-        self.spark.createDataFrame([(b,) for b in batches], "batch string").coalesce(1).write.mode(
-            "overwrite"
-        ).parquet(f"{self.folder}/lists/{name}")
+        rows = self._totals(base, batches)
+        new = self.spark.createDataFrame([(b,) for b in batches], "batch string")
+        listed.unionByName(new).coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/lists/{name}")
         # the base's own marker comes last and makes both count
         rows.write.mode("overwrite").parquet(f"{self.folder}/base/{name}")
 
+    def clean(self) -> None:
+        """Delete the folders of batches that the newest base holds, and older bases with their lists."""
+        base, listed = self._base()
+        there = set(self._names("batches"))
+        gone = [f"batches/{quote(b, safe='')}" for b in there.difference(self._open(listed))]
+        for old in self._names("base"):
+            gone += [f"{kind}/{old}" for kind in ("base", "lists") if old != base]
+        for name in gone:
+            files, where = self._files(f"{self.folder}/{name}")
+            files.delete(where, True)
+
 
 def without_digits(text) -> F.Column:
     """The revision of the query: runs of digits go."""
@@ -176,19 +194,17 @@ def op8_rollup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     before = store(counted(docs, keep=("doc_id",)))
-    revised = docs.withColumn("text", without_digits(F.col("text")))
-    after = store(counted(revised, keep=("doc_id",)))
     toxic = labels.where("toxic = 1").select("doc_id").distinct()
     low = labels.where("quality = 0").select("doc_id").distinct().join(toxic, "doc_id", "left_anti")
     removal = signed(before.join(toxic, "doc_id", "left_semi"), -1)
+    # only what is revised is counted again
+    revised = docs.join(low, "doc_id", "left_semi").withColumn("text", without_digits(F.col("text")))
 
     rollup = Rollup(spark)
     rollup.commit("load", signed(before, 1))
     rollup.commit("toxic", removal)
     rollup.compact()
+    rollup.clean()
     rollup.commit("toxic", removal)
-    rollup.commit(
-        "low quality",
-        revision(before.join(low, "doc_id", "left_semi"), after.join(low, "doc_id", "left_semi")),
-    )
+    rollup.commit("low quality", revision(before.join(low, "doc_id", "left_semi"), counted(revised)))
     return rollup.totals()

@@ -83,3 +83,26 @@ def test_public_vocabulary(spark, docs):
     plain = tokenizers.Tokenizer.from_file(path)
     expected = [(r[0], len(plain.encode(r[1] or "", add_special_tokens=False).ids)) for r in ROWS]
     assert sorted((r["doc_id"], r["tokens"]) for r in got) == sorted(expected)
+
+
+def test_a_batch_committed_during_compaction_counts_once(spark, docs, monkeypatch):
+    rollup = Rollup(spark)
+    rollup.commit("1", signed(counted(docs), 1))
+    summed = Rollup._totals
+
+    def late(self, base, batches):
+        monkeypatch.setattr(Rollup, "_totals", summed)
+        rollup.commit("2", signed(counted(docs), 1))
+        return self._totals(base, batches)
+
+    monkeypatch.setattr(Rollup, "_totals", late)
+    rollup.compact()
+    assert totals(rollup)["s", "en", "words-1"] == (4, 6)
+    rollup.clean()
+    assert totals(rollup)["s", "en", "words-1"] == (4, 6)
+    rollup.compact()
+    rollup.clean()
+    assert totals(rollup)["s", "en", "words-1"] == (4, 6)
+    assert not rollup.commit("1", signed(counted(docs), 1))
+    names = [p.name for p in Path(rollup.folder.removeprefix("file:")).glob("*/*")]
+    assert sorted(names) == ["00000001", "00000001"]
