@@ -11,6 +11,7 @@ from lectern.llm import packing
 from lectern.llm.packing import Encoder, Plan, cuts, pack
 
 PATH = public_tokenizers.path(packing.VOCABULARY)
+RANKS = public_tokenizers.path(packing.RANKS)
 PLAIN = Tokenizer.from_file(PATH)
 
 
@@ -24,16 +25,14 @@ ODD = [
 ]
 
 
-def test_chunks_give_the_ids_of_the_whole(spark, monkeypatch):
-    encoder = Encoder(PATH)
-    rows = [r[0] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
-    texts = [t or "" for t in ODD + rows]
-    for text, got in zip(texts, encoder.encode(texts), strict=True):
-        assert [*got.tolist(), 0] == ids(text)
-    # texts are right also when chunks are forgotten in between
-    monkeypatch.setattr(packing, "REMEMBERED", 3)
-    for text in ODD:
-        assert [*encoder.encode([text or ""])[0].tolist(), 0] == ids(text)
+@pytest.mark.parametrize("ranks", [None, RANKS])
+def test_ids_are_those_of_the_vocabulary(spark, ranks):
+    encoder = Encoder(PATH, ranks)
+    rows = [r[0] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    latin = "".join(map(chr, [*range(0x250), *range(0x2010, 0x2028), 0x20AC]))
+    mixed = [latin, latin[::-1], " ".join(latin), "".join(c + "a 1" for c in latin)]
+    for text in ODD + mixed + rows:
+        assert [*encoder.encode(text or "").tolist(), 0] == ids(text)
 
 
 def test_cuts():
@@ -96,7 +95,7 @@ def test_round_trip(spark):
     rows += [(1000 + k, "same text again") for k in range(200)] + [(2000 + k, t) for k, t in enumerate(ODD)]
     rows += [(None, "x"), (7, "x"), (7, "x"), (2**62 + 1, "y")]
     df = spark.createDataFrame([(*r, "c") for r in rows], "doc_id long, text string, length string").repartition(5)
-    got = pack(df, PATH, capacity=64).collect()
+    got = pack(df, PATH, RANKS, capacity=64).collect()
     assert got[0].asDict().keys() == {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"}
 
     want = Counter()
