@@ -197,8 +197,9 @@ def op8_rollup(spark, sf_dir: str) -> DataFrame:
     toxic = labels.where("toxic = 1").select("doc_id").distinct()
     low = labels.where("quality = 0").select("doc_id").distinct().join(toxic, "doc_id", "left_anti")
     removal = signed(before.join(toxic, "doc_id", "left_semi"), -1)
-    # only what is revised is counted again
-    revised = docs.join(low, "doc_id", "left_semi").withColumn("text", without_digits(F.col("text")))
+    # counted where the texts are: to join first would move whole texts, and counts are small
+    revised = docs.withColumn("text", without_digits(F.col("text")))
+    after = store(counted(revised, keep=("doc_id",))).join(low, "doc_id", "left_semi")
 
     rollup = Rollup(spark)
     rollup.commit("load", signed(before, 1))
@@ -206,5 +207,5 @@ def op8_rollup(spark, sf_dir: str) -> DataFrame:
     rollup.compact()
     rollup.clean()
     rollup.commit("toxic", removal)
-    rollup.commit("low quality", revision(before.join(low, "doc_id", "left_semi"), counted(revised)))
+    rollup.commit("low quality", revision(before.join(low, "doc_id", "left_semi"), after))
     return rollup.totals()
