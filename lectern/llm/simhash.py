@@ -221,7 +221,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         .agg(F.min("id").alias("id"))
         .select(F.col("id.row").alias(row))
     )
-    return numbered.join(chosen, row, "left_semi").select(*docs.columns)
+    return numbered.join(chosen.hint("merge"), row, "left_semi").select(*docs.columns)
 
 
 def op1_simhash(spark, sf_dir: str) -> DataFrame:
