@@ -117,6 +117,21 @@ SQL["sink_append"] = _with(
 )
 
 
+def sink_append_twice(spark, d):
+    """All payments stored, then the last day added as a batch that is sent twice."""
+    spec = CLEANED["dwd_pcentermempaymoney"]
+    rows = derived_tables(spark, d)(spec.name)
+    lake = Lake(spark, scratch_dir(spark))
+    lake.append_batch(rows, spec.name, "all days", rebalance=False)
+    for _ in range(2):
+        lake.append_batch(exams.of_day(rows, DT), spec.name, "last day")
+    return lake.read(spec.name, spec.schema)
+
+
+QUERIES["sink_append_twice"] = sink_append_twice
+SQL["sink_append_twice"] = SQL["sink_append"]
+
+
 def sink_rerun_drops_site(spark, d):
     """All days stored, then the last one again without one of its websites."""
     spec = CLEANED["dwd_pcentermempaymoney"]
@@ -576,6 +591,57 @@ for _name, _size in {"score_segments": 16, "score_segments_parts": 3}.items():
         )
     )
 
+_SEGMENT = "paperviewid, paperviewname, score_segment, dt, dn"
+SEGMENT_BYTES = 256
+
+QUERIES["score_segments_packed"] = _exam_report(
+    lambda w: exams.score_segments_packed(w, SEGMENT_BYTES)
+)
+SQL["score_segments_packed"] = _exam_sql(
+    f"""SELECT * FROM filled UNION ALL BY NAME
+    SELECT {_SEGMENT}, CAST(0 AS INTEGER) AS part, '' AS userids
+    FROM banded GROUP BY {_SEGMENT} HAVING COUNT(userid) = 0""",
+    banded=_BANDED,
+    counted=f"""SELECT {_SEGMENT}, userid, COUNT(*) AS n, LENGTH(CAST(userid AS VARCHAR)) + 1 AS size
+        FROM banded WHERE userid IS NOT NULL GROUP BY {_SEGMENT}, userid""",
+    places=f"""SELECT *, COALESCE(SUM(n * size) OVER (PARTITION BY {_SEGMENT} ORDER BY userid
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM counted""",
+    every="SELECT *, UNNEST(GENERATE_SERIES(0, n - 1)) AS k FROM places",
+    filled=f"""SELECT {_SEGMENT}, CAST((start + k * size) // {SEGMENT_BYTES} AS INTEGER) AS part,
+        STRING_AGG(CAST(userid AS VARCHAR), ',' ORDER BY userid) AS userids
+        FROM every GROUP BY ALL""",
+)
+
+# the score histogram, and the reports that come from it
+
+QUERIES["score_summary"] = _exam_report(exams.score_summary)
+SQL["score_summary"] = _exam_sql(
+    """SELECT paperviewid, paperviewname, dt, dn, score, COUNT(*) AS copies,
+        CAST(SUM(spendtime) AS BIGINT) AS spend_total, CAST(COUNT(spendtime) AS BIGINT) AS spend_times
+    FROM w GROUP BY paperviewid, paperviewname, dt, dn, score"""
+)
+
+
+def _of_summary(plan):
+    return _exam_report(lambda w: plan(exams.score_summary(w)))
+
+
+QUERIES["paper_averages_summary"] = _of_summary(exams.averages_of_summary)
+SQL["paper_averages_summary"] = _AVERAGES
+QUERIES["paper_extremes_summary"] = _of_summary(exams.paper_extremes)
+SQL["paper_extremes_summary"] = SQL["paper_extremes"]
+
+
+def top3_answers_summary(spark, d):
+    load = _layers(spark, d)
+    rows = exams.answer_wide(load, DT, answer_grain=True)
+    points = read(load, "chapter_dim", DT)
+    return exams.ranked(rows, points=points, values=exams.score_summary(rows))
+
+
+QUERIES["top3_answers_summary"] = top3_answers_summary
+SQL["top3_answers_summary"] = SQL["top3_answers"]
+
 _FAIL_PASS = {
     "service": ("score BETWEEN 0 AND 59", "score >= 60"),
     "dao": ("score BETWEEN 0 AND 60", "score > 60"),
@@ -587,6 +653,7 @@ def _pass_rates(boundary):
     return _exam_report(lambda w: exams.pass_rates(w, boundary))
 
 
+QUERIES["paper_pass_rate_summary"] = _of_summary(exams.pass_rates)
 for _name, (_low, _high) in _FAIL_PASS.items():
     QUERIES[f"paper_pass_rate_{_name}"] = _pass_rates(_name)
     SQL[f"paper_pass_rate_{_name}"] = _exam_sql(
@@ -598,6 +665,8 @@ for _name, (_low, _high) in _FAIL_PASS.items():
             GROUP BY paperviewid, dn) USING (paperviewid, dn)"""
     )
 
+SQL["paper_pass_rate_summary"] = SQL["paper_pass_rate_service"]
+
 QUERIES["question_error_rate"] = _exam_report(exams.question_errors)
 SQL["question_error_rate"] = _exam_sql(
     f"""SELECT questionid, errcount, rightcount,

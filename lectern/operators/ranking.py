@@ -33,17 +33,19 @@ def top_levels(
     n: int = 3,
     descending: bool = True,
     rank: str = "rk",
+    values: DataFrame | None = None,
 ) -> DataFrame:
     """All rows whose ``by`` is among the ``n`` best distinct values of the group.
 
     Ties can make one group's answer unbounded, so rows are never ranked in a
     window. The distinct values are ranked instead, at most ``n`` per group
     survive, and the rows are joined to them. Nulls rank last when descending and
-    first when ascending.
+    first when ascending. ``values`` may give the groups' values from a smaller table
+    that holds them all, so that the rows are read once.
     """
     order = F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_first()
     w = Window.partitionBy(*keys).orderBy(order)
-    levels = df.select(*keys, by).distinct()
+    levels = (df if values is None else values).select(*keys, by).distinct()
     levels = levels.withColumn(rank, F.dense_rank().over(w)).where(F.col(rank) <= n)
     levels = levels.select(*(F.col(c).alias(f"_{c}") for c in (*keys, by)), rank)
     on = F.lit(True)

@@ -22,14 +22,26 @@ def count_by(df: DataFrame, keys: Sequence[str], counted: str, name: str = "num"
     return df.groupBy(*keys).agg(F.count(counted).alias(name))
 
 
-def averages(df: DataFrame, keys: Sequence[str], outputs: dict[str, tuple[str, str]]) -> DataFrame:
-    """``{output: (column, type)}`` averages per group, over the copies of each row."""
+def averages(
+    df: DataFrame,
+    keys: Sequence[str],
+    outputs: dict[str, tuple[str, str]],
+    of_sums: dict[str, tuple[str, str, str]] | None = None,
+) -> DataFrame:
+    """``{output: (column, type)}`` averages per group, over the copies of each row.
+
+    ``of_sums`` has those kept as sums: ``{output: (total, how many, type)}``.
+    """
     if COPIES not in df.columns:
         means = {c: F.avg(c) for c, _ in outputs.values()}
     else:
         means = {c: _weighted_mean(df, c) for c, _ in outputs.values()}
     return df.groupBy(*keys).agg(
-        *(means[c].try_cast(t).alias(name) for name, (c, t) in outputs.items())
+        *(means[c].try_cast(t).alias(name) for name, (c, t) in outputs.items()),
+        *(
+            (F.sum(total) / F.sum(times)).try_cast(t).alias(name)
+            for name, (total, times, t) in (of_sums or {}).items()
+        ),
     )
 
 
@@ -134,3 +146,65 @@ def member_lists(
         .select(*keys, F.lit(0).alias("part"), F.lit("").alias(name))
     )
     return lists.select(*keys, "part", text.alias(name)).unionByName(empty)
+
+
+# ids that share a slice: a window never holds more rows than this
+SLICE = 4096
+
+
+def packed_lists(
+    df: DataFrame, keys: Sequence[str], member: str, name: str, max_bytes: int = 1 << 20
+) -> DataFrame:
+    """Comma-separated members of every group in ascending order, in rows of ``max_bytes`` or little more.
+
+    A copy lies in the row that its place falls in: the bytes of all copies before it,
+    divided by ``max_bytes``. Places come from running sums in two levels, over the ids
+    of a slice and over the slices of a group, so no task sorts a whole group, and
+    rows are as many as the group needs. Copies of a hot member are cut by reckoning,
+    without being laid out first. Members are whole numbers. A group without any has one
+    empty list.
+    """
+    times = F.when(F.col(member).isNotNull(), _weight(df)).otherwise(0)
+    counted = df.groupBy(*keys, member).agg(F.sum(times).cast("long").alias("_n"))
+    some = counted.where("_n > 0").select(
+        *keys,
+        F.col(member).alias("_m"),
+        "_n",
+        (F.octet_length(F.col(member).cast("string")) + 1).cast("long").alias("_w"),
+        F.floor(F.col(member) / SLICE).cast("long").alias("_slice"),
+    )
+    bytes_, before = F.col("_n") * F.col("_w"), (Window.unboundedPreceding, -1)
+    own = Window.partitionBy(*keys, "_slice").orderBy("_m").rowsBetween(*before)
+    some = some.withColumn("_own", F.coalesce(F.sum(bytes_).over(own), F.lit(0)))
+    slices = some.groupBy(*keys, "_slice").agg(F.sum(bytes_).alias("_bytes"))
+    upto = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(*before)
+    slices = slices.select(
+        *(F.col(k).alias(f"_{k}") for k in keys),
+        F.col("_slice").alias("_of"),
+        F.coalesce(F.sum("_bytes").over(upto), F.lit(0)).alias("_first"),
+    )
+    same = F.col("_slice") == F.col("_of")
+    for k in keys:
+        same = same & some[k].eqNullSafe(F.col(f"_{k}"))
+    placed = some.join(slices, same).withColumn("_at", F.col("_first") + F.col("_own"))
+
+    size = F.lit(max_bytes)
+    last = F.expr(f"(_at + (_n - 1) * _w) div {max_bytes}")
+    pieces = placed.withColumn("_p", F.explode(F.sequence(F.expr(f"_at div {max_bytes}"), last)))
+    # the first copy at or after a byte, among those of the member
+    low = F.greatest(F.lit(0), F.ceil((F.col("_p") * size - F.col("_at")) / F.col("_w")))
+    high = F.least(F.col("_n"), F.ceil(((F.col("_p") + 1) * size - F.col("_at")) / F.col("_w")))
+    lists = (
+        pieces.withColumn("_copies", (high - low).cast("int"))
+        .groupBy(*keys, F.col("_p").cast("int").alias("part"))
+        .agg(F.array_sort(F.collect_list(F.struct("_m", "_copies"))).alias("_all"))
+    )
+    repeated = F.transform("_all", lambda e: F.array_repeat(e["_m"].cast("string"), e["_copies"]))
+    text = F.array_join(F.flatten(repeated), ",")
+    empty = (
+        counted.groupBy(*keys)
+        .agg(F.sum("_n").alias("_n"))
+        .where("_n = 0")
+        .select(*keys, F.lit(0).alias("part"), F.lit("").alias(name))
+    )
+    return lists.select(*keys, "part", text.alias(name)).unionByName(empty)

@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 from ..functions.columns import SCORE, SCORE_EDGES, band
 from ..operators.joins import known, one_per_key
 from ..operators.ranking import top_levels
-from ..operators.rollups import averages, extremes, member_counts, member_lists, two_sided
+from ..operators.rollups import (
+    averages,
+    extremes,
+    member_counts,
+    member_lists,
+    packed_lists,
+    two_sided,
+)
 from ..sources.reads import read
 
 Load = Callable[[str], DataFrame]
@@ -135,6 +142,30 @@ def of_day(wide: DataFrame, dt: str) -> DataFrame:
     return wide.where(F.col("dt") == F.lit(dt))
 
 
+def score_summary(rows: DataFrame) -> DataFrame:
+    """Score histogram per paper view: rows of one score each, how many answers, and their time.
+
+    As every row stands for its ``copies``, averages, extremes and rates of scores, and the
+    distinct scores to rank, are those of the answers; it has as many rows as scores differ.
+    """
+    weight = F.col("copies") if "copies" in rows.columns else F.lit(1)
+    return rows.groupBy(*PAPER_KEYS, "score").agg(
+        F.sum(weight).cast("long").alias("copies"),
+        F.sum(F.col("spendtime") * weight).cast("long").alias("spend_total"),
+        F.sum(F.when(F.col("spendtime").isNotNull(), weight)).cast("long").alias("spend_times"),
+    )
+
+
+def averages_of_summary(summary: DataFrame) -> DataFrame:
+    """The rows of ``paper_averages`` from the histogram."""
+    return averages(
+        summary,
+        PAPER_KEYS,
+        {"avgscore": ("score", SCORE)},
+        {"avgspendtime": ("spend_total", "spend_times", "decimal(12,2)")},
+    ).select("paperviewid", "paperviewname", "avgscore", "avgspendtime", "dt", "dn")
+
+
 def paper_averages(rows: DataFrame, ordered: bool = False) -> DataFrame:
     out = averages(
         rows,
@@ -157,17 +188,19 @@ def ranked(
     by_website: bool = False,
     columns: Sequence[str] = RANKED_COLUMNS,
     points: DataFrame | None = None,
+    values: DataFrame | None = None,
 ) -> DataFrame:
     """Answers with the ``n`` best (or worst) distinct scores of every paper view.
 
     Rows of one answer each are ranked as they are, and only those that are left
-    meet the points of their chapters, read from the chapter dimension.
+    meet the points of their chapters, read from the chapter dimension. ``values`` is
+    the score summary, where there is one.
     """
     keys = ["paperviewid", "dn"] if by_website else ["paperviewid"]
     own = [c for c in columns if points is None or c != "pointname"]
     link = [] if points is None else ["chapterid", "dn"]
     out = top_levels(
-        rows.select(*dict.fromkeys([*own, *keys, *link, "score"])), keys, "score", n, best
+        rows.select(*dict.fromkeys([*own, *keys, *link, "score"])), keys, "score", n, best, values=values
     )
     if points is not None:
         out = out.join(known(points.select(*link, "pointname"), "chapterid"), link)
@@ -198,6 +231,14 @@ def score_segments(rows: DataFrame, buckets: int = 16) -> DataFrame:
     ).orderBy("paperviewid", "score_segment", "dn", "part")
 
 
+def score_segments_packed(rows: DataFrame, max_bytes: int = 1 << 20) -> DataFrame:
+    """User ids per paper view and score band as text, in as many rows of bounded size as it takes."""
+    lists = packed_lists(banded(rows), SEGMENT_KEYS, "userid", "userids", max_bytes)
+    return lists.select(
+        "paperviewid", "paperviewname", "score_segment", "part", "userids", "dt", "dn"
+    ).orderBy("paperviewid", "score_segment", "dn", "part")
+
+
 def pass_rates(
     rows: DataFrame, boundary: str = "service", keep_one_sided: bool = False
 ) -> DataFrame:
@@ -240,3 +281,28 @@ def question_errors(rows: DataFrame, keep_one_sided: bool = False) -> DataFrame:
         .select("questionid", "errcount", "rightcount", "rate", "dt", "dn")
         .orderBy(F.desc("errcount"), "questionid", "dn")
     )
+
+
+# what the reports over the wide answer table read of it
+REPORT_COLUMNS = list(
+    dict.fromkeys(
+        [
+            *(c for c in RANKED_COLUMNS if c != "pointname"),
+            *("chapterid", "spendtime", "questionid", "user_question_answer", "copies"),
+        ]
+    )
+)
+
+
+def day_reports(rows: DataFrame, summary: DataFrame, points: DataFrame) -> dict[str, DataFrame]:
+    """The reports of a day by table: from the score summary, and from rows of one answer each."""
+    return {
+        "ads_paper_avgtimeandscore": averages_of_summary(summary),
+        "ads_paper_maxdetail": paper_extremes(summary),
+        "ads_user_paper_detail": pass_rates(summary),
+        "ads_top3_userdetail": ranked(rows, points=points, values=summary),
+        "ads_low3_userdetail": ranked(rows, best=False, points=points, values=summary),
+        "ads_paper_scoresegment_member": segment_users(rows),
+        "ads_paper_scoresegment_user": score_segments_packed(rows),
+        "ads_user_question_detail": question_errors(rows),
+    }

@@ -43,7 +43,8 @@ REPORTS = {
     "ads_paper_maxdetail": "paper_extremes",
     "ads_top3_userdetail": "top3_answers",
     "ads_low3_userdetail": "low3_answers",
-    "ads_paper_scoresegment_user": "score_segments",
+    "ads_paper_scoresegment_member": "score_segment_users",
+    "dws_paper_score": "score_summary",
     "ads_user_paper_detail": "paper_pass_rate_service",
     "ads_user_question_detail": "question_error_rate",
     "dws_member": "wide_member",
@@ -67,6 +68,33 @@ def test_stored_history(lake):
     assert _rows(got) == _rows(want)
 
 
+def test_score_segments(lake):
+    """The text form fits rows of a mebibyte: the members of each group in one row."""
+    whole = lake.read("ads_paper_scoresegment_user").collect()
+    users = lake.read("ads_paper_scoresegment_member").collect()
+    want = {}
+    for r in users:
+        want.setdefault((r.paperviewid, r.paperviewname, r.score_segment, r.dn), []).extend([r.userid] * r.copies)
+    got = {(r.paperviewid, r.paperviewname, r.score_segment, r.dn): list(map(int, r.userids.split(","))) for r in whole}
+    assert got == {k: sorted(v) for k, v in want.items()} and all(r.part == 0 for r in whole)
+
+
+def test_reports_scan_the_wide_table_once(lake):
+    load = jobs.loader(lake)
+    wide = jobs.exams.of_day(load("dws_user_paper_detail"), DT).select(*jobs.exams.REPORT_COLUMNS)
+    summary = jobs.exams.of_day(lake.read(jobs.SUMMARY, jobs.SUMMARY_SCHEMA), DT)
+    points = jobs.read(load, "chapter_dim", DT)
+    with jobs.shared(wide) as rows:
+        reports = jobs.exams.day_reports(rows, summary, points)
+        assert len(reports) == 8
+        for table, report in reports.items():
+            plan = report._jdf.queryExecution().optimizedPlan()
+            leaves = plan.collectLeaves().mkString("|")
+            # from the kept columns or the histogram, never from the files of the wide table
+            assert "user_question_answer" not in leaves or "InMemoryRelation" in leaves, table
+            assert not any("user_question_answer" in x for x in leaves.split("|") if x.startswith("Relation")), table
+
+
 def test_arguments():
     with pytest.raises(SystemExit):
         jobs.main(["reports", "--lake", "x"])

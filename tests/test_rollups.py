@@ -4,7 +4,7 @@ from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 
-from lectern.operators.rollups import member_lists
+from lectern.operators.rollups import member_lists, packed_lists
 from lectern.plans import exams
 
 SCORES = "-1 0 20 20.1 40 59 59.5 60 60.1 80 100 100.1".split()
@@ -160,3 +160,34 @@ def test_no_row_is_ranked_or_listed_in_one_piece(spark):
     _, df = answers(spark)
     plan = exams.score_segments(df)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def packed(spark, users, max_bytes, schema="k string, u long"):
+    df = spark.createDataFrame([("g", u) for u in users] + [("empty", None), (None, 7)], schema)
+    got = packed_lists(df, ["k"], "u", "us", max_bytes).collect()
+    assert sorted((r.part, r.us) for r in got if r.k != "g") == [(0, ""), (0, "7")]
+    return {r.part: [int(x) for x in r.us.split(",")] for r in got if r.k == "g"}
+
+
+def plainly_packed(users, max_bytes):
+    parts, at = defaultdict(list), 0
+    for u in sorted(x for x in users if x is not None):
+        parts[at // max_bytes].append(u)
+        at += len(str(u)) + 1
+    return dict(parts)
+
+
+def test_packed_lists_against_one_by_one(spark):
+    users = [*range(-30, 20_000, 7), *[5000] * 3000, *[2**40 + 3] * 9, None, 0, 0]
+    for max_bytes in (16, 100, 5000):
+        assert packed(spark, users, max_bytes) == plainly_packed(users, max_bytes)
+
+
+def test_packed_rows_stay_under_the_bound(spark):
+    """Rows are bounded whatever the size of a group, and no window holds a whole group."""
+    df = spark.range(10_000_000).selectExpr("'g' AS k", "id AS u")
+    rows = packed_lists(df, ["k"], "u", "us", 1 << 20)
+    sizes = [r[0] for r in rows.selectExpr("length(us)").collect()]
+    # all digits and commas of the numbers, less one comma a row
+    assert sum(sizes) + len(sizes) == sum(9 * 10 ** d * (d + 1) for d in range(7)) + 1 + 10_000_000
+    assert max(sizes) <= (1 << 20) + 8 and len(sizes) == -(-(sum(sizes) + len(sizes)) // (1 << 20))
