@@ -250,9 +250,9 @@ _CENTS = "SUM(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 100 AS BIGINT))::BIG
 
 SQL = {
     "ingest_json": """
-        SELECT COALESCE(TRY_CAST(JSON_EXTRACT_STRING(props, '$.k') AS INTEGER), 0) AS k FROM events
+        SELECT COALESCE(TRY_CAST(JSON_EXTRACT_STRING(props, '$.k') AS BIGINT), 0) AS k FROM events
         UNION ALL
-        SELECT COALESCE(TRY_CAST(JSON_EXTRACT_STRING(text, '$.k') AS INTEGER), 0) FROM documents
+        SELECT COALESCE(TRY_CAST(JSON_EXTRACT_STRING(text, '$.k') AS BIGINT), 0) FROM documents
         WHERE CASE WHEN JSON_VALID(text) THEN JSON_TYPE(text) = 'OBJECT' ELSE FALSE END""",
     "mask_person": """
         SELECT c_custkey, SUBSTR(c_name, 1, 1) || 'XX' AS name,

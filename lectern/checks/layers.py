@@ -78,7 +78,7 @@ def ingest_member_typed(spark, d):
 
 QUERIES["ingest_member_typed"] = ingest_member_typed
 SQL["ingest_member_typed"] = """
-    SELECT CAST(c_custkey AS VARCHAR) AS uid, CAST(c_nationkey + 2 AS VARCHAR) AS ad_id,
+    SELECT CAST(c_custkey + 3000000000 AS VARCHAR) AS uid, CAST(c_nationkey + 2 AS VARCHAR) AS ad_id,
         'CXX' AS fullname, c_mktsegment AS memberlevel, '******' AS password,
         '1' || SUBSTR(LPAD(CAST(c_custkey AS VARCHAR), 10, '0'), 1, 2) || '*****'
             || SUBSTR(LPAD(CAST(c_custkey AS VARCHAR), 10, '0'), 8) AS phone,
@@ -617,7 +617,7 @@ SQL["score_segments_packed"] = _exam_sql(
 QUERIES["score_summary"] = _exam_report(exams.score_summary)
 SQL["score_summary"] = _exam_sql(
     """SELECT paperviewid, paperviewname, dt, dn, score, COUNT(*) AS copies,
-        CAST(SUM(spendtime) AS BIGINT) AS spend_total, CAST(COUNT(spendtime) AS BIGINT) AS spend_times
+        CAST(SUM(spendtime) AS DECIMAL(38,0)) AS spend_total, CAST(COUNT(spendtime) AS BIGINT) AS spend_times
     FROM w GROUP BY paperviewid, paperviewname, dt, dn, score"""
 )
 
@@ -698,7 +698,7 @@ def reports_from_lake(spark, d):
     jobs.build_dimensions(lake, DT)
     jobs.build_answers(lake, DT)
     jobs.exam_reports(lake, DT)
-    return lake.read("ads_user_paper_detail")
+    return jobs.loader(lake)("ads_user_paper_detail")
 
 
 QUERIES["reports_from_lake"] = reports_from_lake

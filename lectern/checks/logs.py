@@ -44,6 +44,8 @@ class Raw:
         return f"'{key} ' || CAST({self.id} AS STRING)"
 
 
+# member ids lie beyond the range of int
+_UID = "{} + 3000000000"
 _MEMBER_SITE = "'web' || CAST({} % 2 AS STRING)"
 _SCORE = "CAST(l_quantity * 2 AS DECIMAL(10,2)) - CAST(l_discount * 5 AS DECIMAL(10,2))"
 
@@ -52,6 +54,7 @@ RAW: dict[str, Raw] = {
         "customer",
         "c_custkey",
         {
+            "uid": _UID.format("c_custkey"),
             "ad_id": "CAST(c_nationkey + 2 AS STRING)",
             "fullname": "c_name",
             "memberlevel": "c_mktsegment",
@@ -68,7 +71,7 @@ RAW: dict[str, Raw] = {
         "orders",
         "o_orderkey",
         {
-            "uid": "o_custkey",
+            "uid": _UID.format("o_custkey"),
             "appregurl": "'url ' || o_orderstatus",
             "createtime": "CAST(o_orderdate AS STRING)",
             "regsource": "SUBSTR(o_orderpriority, 1, 1)",
@@ -81,7 +84,7 @@ RAW: dict[str, Raw] = {
         "orders",
         "o_orderkey",
         {
-            "uid": "o_custkey",
+            "uid": _UID.format("o_custkey"),
             "paymoney": "CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS STRING)",
             "vip_id": "CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 9 END",
             "dt": "CASE SUBSTR(o_orderpriority, 1, 1) WHEN '1' THEN '20190720'"
@@ -135,6 +138,7 @@ RAW: dict[str, Raw] = {
         "lineitem",
         "l_orderkey",
         {
+            "userid": _UID.format("l_orderkey"),
             "paperviewid": "l_suppkey",
             "chapterid": "l_partkey",
             "sitecourseid": "l_suppkey",
@@ -217,7 +221,7 @@ def derived_tables(spark: SparkSession, sf_dir: str):
     def load(table: str) -> DataFrame:
         spec, raw = CLEANED[table], RAW[table]
         numbers = [
-            f"coalesce(try_cast({raw.expr(spec, f.key)} AS INT), 0) AS `{f.name}`"
+            f"coalesce(try_cast({raw.expr(spec, f.key)} AS BIGINT), 0) AS `{f.name}`"
             for f in spec.fields
             if f.kind == "i"
         ]
@@ -230,7 +234,7 @@ def derived_tables(spark: SparkSession, sf_dir: str):
 
 
 _EXPECTED = {
-    "i": "COALESCE(TRY_CAST({} AS INTEGER), 0)",
+    "i": "COALESCE(TRY_CAST({} AS BIGINT), 0)",
     "s": "CAST({} AS VARCHAR)",
     "d1": "CAST(ROUND(CAST({} AS DECIMAL(28,10)), 1) AS DECIMAL(22,1))",
     "name": "SUBSTR({}, 1, 1) || 'XX'",

@@ -15,6 +15,8 @@ OTHER_PLATFORM = "other"
 # types that hold whatever a log can hold: sums of money, and rounded scores
 MONEY_SUM = "decimal(38,4)"
 SCORE = "decimal(22,1)"
+# longs to be summed
+WHOLE = "decimal(20,0)"
 SCORE_EDGES = (0, 20, 40, 60, 80, 100)
 
 
@@ -42,16 +44,16 @@ def label(c: Column, names: Mapping[str, str], default: str) -> Column:
 
 
 def whole_number(name: str) -> Column:
-    """A text column to int as a lenient log reader does.
+    """A text column to long as a lenient log reader does.
 
     Fractions are cut; null and anything unreadable is 0. A number beyond the
-    range of int is null, so that it is not taken for a missing one.
+    range of long is null, so that it is not taken for a missing one.
     """
     text = f"trim(`{name}`)"
-    beyond = f"abs(try_cast({text} AS DOUBLE)) BETWEEN 2147483648D AND 1.7976931348623157E308D"
+    beyond = f"abs(try_cast({text} AS DOUBLE)) BETWEEN 9.223372036854775807E18D AND 1.7976931348623157E308D"
     return F.expr(
-        f"coalesce(try_cast({text} AS INT),"
-        f" try_cast(try_cast({text} AS DECIMAL(38,18)) AS INT),"
+        f"coalesce(try_cast({text} AS BIGINT),"
+        f" try_cast(try_cast({text} AS DECIMAL(38,18)) AS BIGINT),"
         f" if({beyond}, NULL, 0)) AS `{name}`"
     )
 

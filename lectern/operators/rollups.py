@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import WHOLE
+
 
 # a row may stand for several; this column, where there is one, says for how many
 COPIES = "copies"
@@ -39,7 +41,7 @@ def averages(
     return df.groupBy(*keys).agg(
         *(means[c].try_cast(t).alias(name) for name, (c, t) in outputs.items()),
         *(
-            (F.sum(total) / F.sum(times)).try_cast(t).alias(name)
+            (F.sum(total).cast("double") / F.sum(times)).try_cast(t).alias(name)
             for name, (total, times, t) in (of_sums or {}).items()
         ),
     )
@@ -48,10 +50,10 @@ def averages(
 def _weighted_mean(df: DataFrame, column: str) -> Column:
     """What avg gives over the copies: four more decimals for a decimal, else a double."""
     times = F.sum(F.when(F.col(column).isNotNull(), _weight(df)))
-    total = F.sum(F.col(column) * _weight(df))
     kind = df.schema[column].dataType
     if not isinstance(kind, T.DecimalType):
-        return total / times
+        return F.sum(F.col(column).cast(WHOLE) * _weight(df)).cast("double") / times
+    total = F.sum(F.col(column) * _weight(df))
     return F.round(total.cast(T.DecimalType(28, kind.scale)) / times, kind.scale + 4)
 
 
@@ -148,8 +150,8 @@ def member_lists(
     return lists.select(*keys, "part", text.alias(name)).unionByName(empty)
 
 
-# ids that share a slice: a window never holds more rows than this
-SLICE = 4096
+# ids alike but for their last bits share a slice: a window never holds more rows than that
+SLICE_BITS = 12
 
 
 def packed_lists(
@@ -171,7 +173,7 @@ def packed_lists(
         F.col(member).alias("_m"),
         "_n",
         (F.octet_length(F.col(member).cast("string")) + 1).cast("long").alias("_w"),
-        F.floor(F.col(member) / SLICE).cast("long").alias("_slice"),
+        F.shiftright(F.col(member), SLICE_BITS).alias("_slice"),
     )
     bytes_, before = F.col("_n") * F.col("_w"), (Window.unboundedPreceding, -1)
     own = Window.partitionBy(*keys, "_slice").orderBy("_m").rowsBetween(*before)

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import SCORE, SCORE_EDGES, band
+from ..functions.columns import SCORE, SCORE_EDGES, WHOLE, band
 from ..operators.joins import known, one_per_key
 from ..operators.ranking import top_levels
 from ..operators.rollups import (
@@ -151,7 +151,7 @@ def score_summary(rows: DataFrame) -> DataFrame:
     weight = F.col("copies") if "copies" in rows.columns else F.lit(1)
     return rows.groupBy(*PAPER_KEYS, "score").agg(
         F.sum(weight).cast("long").alias("copies"),
-        F.sum(F.col("spendtime") * weight).cast("long").alias("spend_total"),
+        F.sum(F.col("spendtime").cast(WHOLE) * weight).cast("decimal(38,0)").alias("spend_total"),
         F.sum(F.when(F.col("spendtime").isNotNull(), weight)).cast("long").alias("spend_times"),
     )
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-TYPES = {"i": T.IntegerType(), "d1": T.DecimalType(22, 1)}
+TYPES = {"i": T.LongType(), "d1": T.DecimalType(22, 1)}
 
 
 @dataclass(frozen=True)

@@ -53,7 +53,8 @@ def test_platform(spark, value, want):
     "value, want",
     [
         ("12", 12), (" 7 ", 7), ("-3", -3), ("12.7", 12), ("x", 0), ("", 0), (None, 0),
-        ("99999999999", None), ("-1e30", None), ("NaN", 0), ("1e3", 1000), ("-2147483648", -(2**31)),
+        ("99999999999", 99999999999), ("-1e30", None), ("9223372036854775807", 2**63 - 1),
+        ("9223372036854775808", None), ("NaN", 0), ("1e3", 1000), ("-2147483648", -(2**31)),
     ],
 )
 def test_whole_number(spark, value, want):

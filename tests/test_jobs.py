@@ -82,7 +82,7 @@ def test_score_segments(lake):
 def test_reports_scan_the_wide_table_once(lake):
     load = jobs.loader(lake)
     wide = jobs.exams.of_day(load("dws_user_paper_detail"), DT).select(*jobs.exams.REPORT_COLUMNS)
-    summary = jobs.exams.of_day(lake.read(jobs.SUMMARY, jobs.SUMMARY_SCHEMA), DT)
+    summary = jobs.exams.of_day(load(jobs.SUMMARY), DT)
     points = jobs.read(load, "chapter_dim", DT)
     with jobs.shared(wide) as rows:
         reports = jobs.exams.day_reports(rows, summary, points)
