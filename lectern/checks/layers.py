@@ -12,6 +12,7 @@ from ..operators.history import close_versions, day_increment, merge_day, merge_
 from ..plans import exams, jobs, members
 from ..plans.ingest import members_from_json
 from ..session import scratch_dir
+from ..sources.jsonlines import rejected
 from ..sources.lake import Lake, write_table
 from ..sources.reads import READS, read
 from ..sources.specs import CLEANED
@@ -91,6 +92,32 @@ SQL["ingest_member_typed"] = """
 ) + " FROM customer"
 
 
+# a line of the answer log in five forms, by the day of the answer: whole, or broken in one of four ways
+_BROKEN = {
+    "malformed": "SUBSTR(value, 1, LENGTH(value) - 1)",
+    "more than one": "value || value",
+    "no object": "'[' || value || ']'",
+    "blank": "'  '",
+}
+
+
+def rejected_by_reason(spark, d):
+    """Lines of the answer log that are no records, by reason; each day of the month breaks them in its way."""
+    lines = log_lines(spark, d, "dwd_qz_member_paper_question").withColumn(
+        "day", F.expr("CAST(SUBSTR(GET_JSON_OBJECT(value, '$.lasttime'), 9, 2) AS INT)")
+    )
+    cases = " ".join(f"WHEN day = {k + 1} THEN {x}" for k, x in enumerate(_BROKEN.values()))
+    broken = lines.selectExpr(f"CASE {cases} ELSE value END AS value")
+    return rejected(broken).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+QUERIES["rejected_by_reason"] = rejected_by_reason
+SQL["rejected_by_reason"] = " UNION ALL ".join(
+    f"""SELECT '{reason}' AS reason, COUNT(*) AS n FROM lineitem
+    WHERE EXTRACT(DAY FROM CAST(l_shipdate AS DATE)) = {k + 1} HAVING COUNT(*) > 0"""
+    for k, reason in enumerate(_BROKEN)
+)
+
 # sinks
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import (
@@ -26,14 +26,17 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def json_objects(lines: DataFrame, keys: list[str], strict: bool = True) -> DataFrame:
-    """The given keys of every line, as text.
+# why a line is no record: nothing in it; no JSON at its start; another JSON value than an object;
+# an object with more after it
+REASONS = ("blank", "malformed", "no object", "more than one")
+
+
+def parsed_lines(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """Every line as ``value`` with its record ``o``, null unless the line is one whole object.
 
-    ``strict`` drops each line that is not one whole JSON object. The line is
-    parsed as the only element of a list, followed by a second list with a hash
-    of the line: text after the object, a second object or a bare array change
+    The line is parsed as the only element of a list, followed by a second list with
+    a hash of the line: text after the object, a second object or a bare array change
     the shape, and a line that closes the list itself cannot hold its own hash.
-    Without ``strict`` such lines become rows of nulls.
     """
     fields = ", ".join(f"`{k}` string" for k in (*keys, _END))
     mark = F.sha2(F.col("value"), 256)
@@ -44,23 +47,54 @@ def json_objects(lines: DataFrame, keys: list[str], strict: bool = True) -> Data
     )
     # a generator evaluates the parse once per line, however many keys are read
     rows = lines.select(
-        mark.alias("_mark"), F.inline(F.array(F.struct(parsed.alias("_lists"))))
+        "value", mark.alias("_mark"), F.inline(F.array(F.struct(parsed.alias("_lists"))))
     )
     lists = F.col("_lists")
-    whole = (
+    one = (
         (F.size(lists) == 2)
         & (F.size(F.get(lists, 0)) == 1)
         & (F.size(F.get(lists, 1)) == 1)
         & (F.get(F.get(lists, 1), 0)[_END] == F.col("_mark"))
     )
-    record = F.get(F.get(lists, 0), 0)
+    return rows.select("value", F.when(one, F.get(F.get(lists, 0), 0)).alias("o"))
+
+
+def _reason() -> Column:
+    """Why a line is no record; null where it is one. Only lines that are none are parsed again."""
+    value = F.col("value")
+    first = F.try_parse_json(value)
+    blank, malformed, other, more = REASONS
+    return (
+        F.when(F.col("o").isNotNull(), F.lit(None).cast("string"))
+        .when(value.isNull() | ~value.rlike(r"\S"), blank)
+        .when(first.isNull(), malformed)
+        .when(F.schema_of_variant(first).startswith("OBJECT"), more)
+        .otherwise(other)
+    )
+
+
+def json_objects(
+    lines: DataFrame, keys: list[str], strict: bool = True, rejects: Observation | None = None
+) -> DataFrame:
+    """The given keys of every line, as text.
+
+    ``strict`` drops each line that is not one whole JSON object; ``rejects`` counts
+    those by reason in the same pass. Without ``strict`` such lines become rows of nulls.
+    """
+    rows = parsed_lines(lines, keys)
+    if rejects is not None:
+        counts = (F.count_if(F.col("reason") == r).alias(r) for r in REASONS)
+        rows = rows.withColumn("reason", _reason()).observe(rejects, F.count(F.lit(1)).alias("lines"), *counts)
     if strict:
-        rows = rows.where(whole & record.isNotNull()).select(record.alias("o"))
-    else:
-        rows = rows.select(F.when(whole, record).alias("o"))
+        rows = rows.where(F.col("o").isNotNull())
     return rows.selectExpr(*(f"o.`{k}`" for k in keys))
 
 
+def rejected(lines: DataFrame) -> DataFrame:
+    """The lines that are no record, with the reason."""
+    return parsed_lines(lines, []).where(F.col("o").isNull()).select("value", _reason().alias("reason"))
+
+
 def _typed(field: Field, phone_variant: str) -> Column | str:
     kind = field.kind
     if kind == "s" and field.key == field.name:
@@ -93,6 +127,6 @@ def typed(
     )
 
 
-def clean(lines: DataFrame, spec: TableSpec) -> DataFrame:
+def clean(lines: DataFrame, spec: TableSpec, rejects: Observation | None = None) -> DataFrame:
     """Lines of a raw log to the rows of its cleaned table. A map-only plan."""
-    return typed(json_objects(lines, spec.raw_keys), spec)
+    return typed(json_objects(lines, spec.raw_keys, rejects=rejects), spec)

@@ -2,6 +2,7 @@ from decimal import Decimal
 
 from lectern.plans.ingest import cleaned, ingest, members_from_json
 from lectern.sources import CLEANED, Lake, clean, json_objects
+from lectern.sources.jsonlines import rejected
 
 GOOD = {
     '{"uid":1}': "1",
@@ -115,3 +116,44 @@ def test_ingest_again_gives_the_same_table(spark, tmp_path):
     assert lake.read("dwd_base_ad", spec.schema).count() == 2
     ingest(lake, str(raw), ["dwd_base_ad"], append=True)
     assert lake.read("dwd_base_ad", spec.schema).count() == 4
+
+
+REJECTED = {
+    "": "blank", "   ": "blank", "junk": "malformed", '{"uid":5': "malformed", "null": "no object", "[1]": "no object",
+    '[{"uid":1}]': "no object", '{"uid":1},{"uid":2}': "more than one", '{"uid":1}],[{"uid":2}': "more than one",
+}
+
+
+def test_reasons(spark):
+    lines = lines_of(spark, [*GOOD, *BAD, *REJECTED])
+    got = {r.value: r.reason for r in rejected(lines).collect()}
+    assert set(got) == {*BAD, *REJECTED}
+    assert {v: got[v] for v in REJECTED} == REJECTED
+
+
+def test_rejected_lines_are_counted_and_kept(spark, tmp_path, rows):
+    raw, lake = tmp_path / "raw", Lake(spark, str(tmp_path / "lake"))
+    good = '{"adid":1,"adname":"x","dn":"a"}'
+    lines_of(spark, [good, good, *REJECTED]).coalesce(2).write.text(str(raw / "baseadlog.log"))
+    for _ in range(2):
+        counts = ingest(lake, str(raw), ["dwd_base_ad"], keep_rejects=True)
+        assert counts == {
+            "dwd_base_ad": {"lines": 11, "blank": 2, "malformed": 2, "no object": 3, "more than one": 2}
+        }
+        kept = spark.read.parquet(lake.path("rejected_lines"))
+        assert rows(kept, "value", "reason", "log") == sorted(
+            ((v, r, "dwd_base_ad") for v, r in REJECTED.items()), key=repr
+        )
+    assert lake.read("dwd_base_ad", CLEANED["dwd_base_ad"].schema).count() == 2
+    lines_of(spark, [good]).write.mode("overwrite").text(str(raw / "baseadlog.log"))
+    counts = ingest(lake, str(raw), ["dwd_base_ad"], keep_rejects=True)
+    assert counts["dwd_base_ad"]["lines"] == 1 and sum(counts["dwd_base_ad"].values()) == 1
+    assert spark.read.parquet(lake.path("rejected_lines")).count() == 0
+
+
+def test_a_batch_sent_twice_is_counted_once(spark, tmp_path):
+    raw, lake = tmp_path / "raw", Lake(spark, str(tmp_path / "lake"))
+    lines_of(spark, ['{"adid":1,"dn":"a"}', "junk"]).write.text(str(raw / "baseadlog.log"))
+    first = ingest(lake, str(raw), ["dwd_base_ad"], batch="b")
+    assert first["dwd_base_ad"]["malformed"] == 1
+    assert ingest(lake, str(raw), ["dwd_base_ad"], batch="b") == {"dwd_base_ad": {}}
