@@ -124,7 +124,7 @@ def tokens(text: str) -> Iterator[tuple[int, int]]:
 def shape(token: str) -> int:
     """Hash of the token's form: lengths of digit runs up to 19, letters as one, marks as they are."""
     form, k = [], 0
-    token = token.lstrip("+")[:64]
+    token = token.lstrip("+")
     while k < len(token):
         run = k
         while run < len(token) and token[run] in "0123456789":

@@ -49,6 +49,13 @@ def test_luhn():
     assert crf.luhn("4111111111111111") and not crf.luhn("4111111111111112")
 
 
+def test_shapes_are_of_whole_tokens():
+    start = "1." * 100
+    assert len({crf.shape(start + end) for end in ("a", "-", "22", "@x", "")}) == 5
+    assert crf.shape("+" * 9 + "12-3") == crf.shape("45-6") != crf.shape("45-66")
+    assert crf.shape("ab@cde") == crf.shape("x@y")
+
+
 def test_message_passing_is_exact_on_a_tree():
     """Beliefs of a chain with one skip link that closes no loop, against all labellings."""
     rng = np.random.default_rng(7)
