@@ -24,11 +24,12 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
-from itertools import repeat
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +56,8 @@ BOUND = 60.0
 STEP = 1 << 15
 # words a task counts before it hands them on
 COUNTED = 300_000
+# characters of texts that are encoded together; a longer text is a chunk of its own
+CHUNK = 1 << 22
 # rows of the weight table that are averaged together, and tasks merged at once
 BLOCK = 512
 MERGED = 64
@@ -62,33 +65,42 @@ MERGED = 64
 END = " "
 PAD = 4
 
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-
-
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The lower-cased words of all texts, one text after the other, and how many each has."""
+    trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    lists = pc.ascii_split_whitespace(trimmed)
+    words, sizes = lists.flatten(), pc.list_value_length(lists).to_numpy().astype(np.int64)
+    # a text without words is split into one empty word
+    blank = pc.equal(trimmed, "").to_numpy(False)
+    if blank.any():
+        words = words.filter(pc.not_equal(words, ""))
+    return words, np.where(blank, 0, sizes)
 
 
 def count_words(texts: DataFrame) -> DataFrame:
     """(word, n) over all rows of (text), stored; every text has one end mark."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: Counter = Counter()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _counts(pa.array([], pa.large_string()), 0)
         for batch in batches:
-            for text in batch["text"]:
-                total.update(words_of(text))
-                if len(total) > COUNTED:
-                    yield _rows(total)
-                    total.clear()
-            total[END.encode()] += len(batch)
-        yield _rows(total)
-
-    def _rows(total: Counter) -> pd.DataFrame:
-        return pd.DataFrame(
-            {"word": [w.decode("utf-8", "replace") for w in total], "n": list(total.values())}
-        )
-
-    counted = texts.mapInPandas(run, "word string, n long")
+            words, _ = words_of(batch.column("text"))
+            held = pa.concat_tables([held, _counts(words, batch.num_rows)])
+            if held.num_rows > 2 * COUNTED:
+                held = _merged(held)
+                if held.num_rows > COUNTED:
+                    yield from held.to_batches()
+                    held = held.slice(0, 0)
+        yield from _merged(held).to_batches()
+
+    def _counts(words: pa.Array, ends: int) -> pa.Table:
+        found = words.value_counts()
+        word = pa.concat_arrays([found.field(0).cast(pa.string()), pa.array([END])])
+        return pa.table({"word": word, "n": pa.concat_arrays([found.field(1), pa.array([ends], pa.int64())])})
+
+    def _merged(held: pa.Table) -> pa.Table:
+        return held.group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
+    counted = texts.mapInArrow(run, "word string, n long")
     return store(counted.where("n > 0").groupBy("word").agg(F.sum("n").alias("n")))
 
 
@@ -107,13 +119,13 @@ class Model:
 
     def __init__(self, words: list[bytes], counts: list[int], total: int, kinds: int):
         order = sorted(range(len(words)), key=lambda k: (words[k] != END.encode(), -counts[k], words[k]))
-        self.rank = {words[k]: r for r, k in enumerate(order)}
+        self.words = pa.array([words[k].decode() for k in order], pa.large_string())
         self.counts = np.array([counts[k] for k in order], dtype=np.int64)
         self.classes = np.array(
             [r if r < SINGLE else suffix_class_of(words[k]) for r, k in enumerate(order)],
             dtype=np.int64,
         )
-        self.end = self.rank[END.encode()]
+        self.end = 0
         self.total, self.kinds = total, kinds
         self.weights = np.zeros((ROWS, SLOTS, WIDTH), dtype=np.float32)
 
@@ -127,30 +139,30 @@ class Model:
         self.group_bias = np.log(grouped.sum(axis=1) / sizes.sum()).astype(np.float32)
         self.class_bias = np.log(grouped / grouped.sum(axis=1, keepdims=True)).astype(np.float32)
 
-    def encode(self, texts: list[str | None]) -> Iterator[tuple]:
+    def encode(self, texts: Sequence[str | None]) -> Iterator[tuple]:
         """Chunks of texts as arrays: ids, classes, places and words beyond the head, lengths.
 
         Each text begins with PAD end marks and ends with one; ids beyond the head are negative.
         """
-        flat: list[bytes] = []
-        sizes: list[int] = []
+        held: list[str | None] = []
+        size = 0
         for text in texts:
-            words = words_of(text)
-            flat += words
-            sizes.append(len(words))
-            if len(flat) > 1 << 18:
-                yield self._arrays(flat, np.array(sizes))
-                flat, sizes = [], []
-        if sizes:
-            yield self._arrays(flat, np.array(sizes))
-
-    def _arrays(self, flat: list[bytes], sizes: np.ndarray):
-        found = np.fromiter(map(self.rank.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
+            held.append(text)
+            size += len(text or "")
+            if size > CHUNK:
+                yield self._arrays(*words_of(pa.array(held, pa.large_string())))
+                held, size = [], 0
+        if held:
+            yield self._arrays(*words_of(pa.array(held, pa.large_string())))
+
+    def _arrays(self, flat: pa.Array, sizes: np.ndarray):
+        at_rank = pc.index_in(flat, value_set=self.words)
+        found = pc.fill_null(at_rank, -1).to_numpy().astype(np.int64)
         kinds = self.classes[np.maximum(found, 0)]
         beyond = np.flatnonzero(found < 0)
-        others = [flat[k] for k in beyond.tolist()]
-        # two characters have eight bytes at most
-        suffixes = [w[-8:] for w in others]
+        others = flat.take(pa.array(beyond)).cast(pa.large_binary()).to_pylist()
+        # two characters are two bytes if those are ASCII, eight at most otherwise
+        suffixes = [w[-2:] if w[-2:].isascii() else w[-8:] for w in others]
         memo = {x: suffix_class_of(x) for x in set(suffixes)}
         kinds[beyond] = [memo[x] for x in suffixes]
         found[beyond] = [-1 - zlib.crc32(w) for w in others]
@@ -197,9 +209,10 @@ class Model:
         out = []
         for base, bias in ((0, self.group_bias), (1 + classes // WIDTH, self.class_bias[classes // WIDTH])):
             at = rows * SLOTS + (base if isinstance(base, int) else base[:, None])
-            logit = slots[at[:, 0]]
+            # take copies whole rows, several times faster than an index does
+            logit = slots.take(at[:, 0], axis=0)
             for k in range(1, at.shape[1]):
-                logit += slots[at[:, k]]
+                logit += slots.take(at[:, k], axis=0)
             logit += bias
             out.append(np.clip(logit, -BOUND, BOUND, out=logit))
         return out[0], out[1]

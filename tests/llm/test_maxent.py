@@ -1,8 +1,10 @@
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +13,11 @@ from lectern.llm import maxent
 SCHEMA = "doc_id long, text string, score string, train boolean"
 
 
+def plain_words(text):
+    upper = re.compile("[A-Z]")
+    return re.findall(r"[^\x20\x09-\x0D]+", upper.sub(lambda m: m[0].lower(), text or ""))
+
+
 def corpus():
     """Two kinds of text whose words tell each other apart."""
     rng = random.Random(5)
@@ -34,11 +41,11 @@ def check_base(rows):
     counts = Counter()
     for _, text, _, train in corpus():
         if train:
-            counts.update([*maxent.words_of(text), b" "])
+            counts.update([*plain_words(text), " "])
     total = sum(counts.values())
     of_id = {r[0]: r[1] for r in corpus()}
     for r in rows:
-        tokens = [*maxent.words_of(of_id[r["id"]]), b" "]
+        tokens = [*plain_words(of_id[r["id"]]), " "]
         base = sum(math.log10((counts[w] + 1) / (total + len(counts) + 1)) for w in tokens)
         assert r["n_tokens"] == len(tokens) and r["train_tokens"] == total
         assert r["n_known"] == sum(counts[w] > 0 for w in tokens)
@@ -93,3 +100,31 @@ def test_no_training_rows_and_no_rows(spark, docs):
     rows = maxent.score(docs, F.lit(False)).collect()
     assert {(r["n_known"], r["train_tokens"], r["base_score"]) for r in rows} == {(0, 0, 0.0)}
     assert maxent.score(docs.where("false"), F.col("train")).count() == 0
+
+
+def test_words_of():
+    """Blanks of ASCII alone part words, at both ends and in runs; nulls and blank texts have none."""
+    rng = random.Random(3)
+    signs = "aAzZ\u00c9\u00a0\u2003\x1c\x1f\x00\x85" + " \t\n\x0b\x0c\r" * 2
+    texts = [None, "", " ", "\n\n a", "a ", *("".join(rng.choices(signs, k=rng.randrange(12))) for _ in range(2000))]
+    words, sizes = maxent.words_of(pa.array(texts))
+    assert words.to_pylist() == [w for t in texts for w in plain_words(t)]
+    assert sizes.tolist() == [len(plain_words(t)) for t in texts]
+
+
+def test_counts_are_handed_on_in_parts(spark, docs, monkeypatch):
+    """Tasks that hold few words at once give the same counts."""
+    monkeypatch.setattr(maxent, "COUNTED", 10)
+    want = Counter()
+    for _, text, _, _ in corpus():
+        want.update([*plain_words(text), " "])
+    assert {r["word"]: r["n"] for r in maxent.count_words(docs.select("text")).collect()} == want
+
+
+def test_chunks_of_texts_do_not_change_scores(spark, docs, monkeypatch):
+    model, _ = maxent.fit(docs.where("train").select("text", F.lit(0).alias("part")), rounds=1)
+    texts = [r["text"] for r in docs.select("text").limit(60).collect()]
+    whole = [tuple(x) for x in model.score(texts)]
+    monkeypatch.setattr(maxent, "CHUNK", 50)
+    for one, many in zip(model.score(texts), whole, strict=True):
+        assert one[:2] == many[:2] and one[2:4] == pytest.approx(many[2:4]) and one[4] == many[4]
