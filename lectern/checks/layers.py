@@ -462,6 +462,19 @@ def history_corrected_day(spark, d):
     return jobs.history(lake, DT)
 
 
+def history_snapshots(spark, d):
+    """The stored history with a snapshot after each day, of which the last day is run again."""
+    load = derived_tables(spark, d)
+    lake = Lake(spark, scratch_dir(spark))
+    lake.write(load("dwd_vip_level"), "dwd_vip_level", CLEANED["dwd_vip_level"].partitions)
+    lake.write(load("dwd_pcentermempaymoney"), "dwd_pcentermempaymoney")
+    for day in [*DAYS, DAYS[-1]]:
+        jobs.build_history(lake, day, snapshot_every=1)
+    return jobs.history(lake, DT)
+
+
+QUERIES["history_snapshots"] = history_snapshots
+SQL["history_snapshots"] = _HISTORY_SQL
 QUERIES["history_corrected_day"] = history_corrected_day
 SQL["history_corrected_day"] = _HISTORY_SQL
 

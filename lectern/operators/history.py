@@ -63,6 +63,24 @@ def merge_day(versions: DataFrame, day: DataFrame) -> DataFrame:
     return both.select(F.inline(F.array_compact(F.array(closed, current))))
 
 
+def latest(opened: DataFrame) -> DataFrame:
+    """Of all versions that were opened, the last of each key: the one that is open.
+
+    A new version closes the one before it, so the closed ones need not be read. Copies
+    of a version, as a snapshot and a day may both hold it, count once.
+    """
+    rest = [c for c in COLUMNS if c not in (*KEYS, "start_time")]
+    picked = opened.groupBy(*KEYS).agg(F.max(F.struct("start_time", *rest)).alias("_last"))
+    return picked.select(*(F.col(c) if c in KEYS else F.col(f"_last.{c}") for c in COLUMNS))
+
+
+def touched(versions: DataFrame, day: DataFrame) -> DataFrame:
+    """The versions of the keys that have an increment on the day."""
+    old, new = versions.alias("old"), day.select(*KEYS).alias("new")
+    same = [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in KEYS]
+    return old.join(new, same, "left_semi")
+
+
 def _version(side: str, paymoney: Column, end_time: Column) -> Column:
     return F.struct(
         F.col(f"{side}.uid").alias("uid"),

@@ -47,14 +47,67 @@ def test_an_unreadable_payment_adds_nothing(spark, tmp_path, monkeypatch):
     assert [v[3] for v in versions(lake, DAYS[2])] == [10, 10, 15]
 
 
-def test_old_open_versions_can_be_dropped(spark, tmp_path, monkeypatch):
+def stored_rows(lake, table):
+    """(dt, uid, state) of all stored rows."""
+    rows = lake.read(table, jobs.ZIPPER_SCHEMA).collect()
+    return sorted((r.dt, r.uid, r.state) for r in rows)
+
+
+def test_a_day_writes_only_what_it_changed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "loader", plain_loader)
+    many = [(u, "10") for u in range(1, 301)]
+    lake = lake_of(spark, tmp_path, {DAYS[0]: many, DAYS[1]: [(1, "5"), (999, "2")], DAYS[2]: []})
+    changed = [r for r in stored_rows(lake, jobs.ZIPPER) if r[0] > DAYS[0]]
+    assert changed == [(DAYS[1], 1, "closed"), (DAYS[1], 1, "open"), (DAYS[1], 999, "open")]
+    assert len(versions(lake, DAYS[2])) == 302
+
+
+def test_snapshots_change_nothing(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "loader", plain_loader)
+    paid = {d: [(1, "1"), (k + 2, "3")] for k, d in enumerate(DAYS)}
+    lake = lake_of(spark, tmp_path / "plain", paid)
+    want = {d: versions(lake, d) for d in DAYS}
+    other = Lake(spark, str(tmp_path / "snapshots"))
+    lake.spark.read.parquet(lake.path("dwd_vip_level")).write.parquet(other.path("dwd_vip_level"))
+    for dt, rows in paid.items():
+        put(spark, other, dt, rows)
+        jobs.build_history(other, dt, snapshot_every=1)
+    assert {d: versions(other, d) for d in DAYS} == want
+    # the two newest are kept, and hold all that is open after their day
+    assert other.days(jobs.SNAPSHOT) == DAYS[-2:]
+    assert len([r for r in stored_rows(other, jobs.SNAPSHOT) if r[0] == DAYS[-1]]) == 1 + len(DAYS)
+    # the days before the snapshot aren't read to add one
+    scans = jobs.opened(other, DAYS[-1])._jdf.queryExecution().executedPlan().toString()
+    pruned = [x for x in scans.split("FileScan") if "PartitionFilters" in x]
+    assert len(pruned) == 2 and f"> {DAYS[-2]}" in pruned[0].split("PartitionFilters")[1].split("]")[0]
+
+
+def test_a_past_day_run_again_drops_later_snapshots(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "loader", plain_loader)
+    paid = {d: [(1, "1")] for d in DAYS}
+    lake = lake_of(spark, tmp_path, paid)
+    jobs.snapshot_history(lake, DAYS[1])
+    jobs.snapshot_history(lake, DAYS[2])
+    put(spark, lake, DAYS[1], [(1, "5"), (2, "7")])
+    for dt in DAYS[1:]:
+        jobs.build_history(lake, dt)
+    assert lake.days(jobs.SNAPSHOT) == []
+    assert [v for v in versions(lake, DAYS[-1]) if v[2] == "open"] == [(1, "23", "open", 8), (2, "21", "open", 7)]
+    assert [v[3] for v in versions(lake, DAYS[-1]) if v[0] == 1] == [1, 6, 7, 8]
+
+
+def test_days_stored_whole_are_read(spark, tmp_path, monkeypatch):
+    """A day that holds all versions open after it, as they were stored once, counts each once."""
     monkeypatch.setattr(jobs, "loader", plain_loader)
-    lake = lake_of(spark, tmp_path, {d: [(1, "1")] for d in DAYS})
-    whole = versions(lake, DAYS[-1])
-    jobs.build_history(lake, DAYS[-1], keep=1)
-    assert versions(lake, DAYS[-1]) == whole
-    table = lake.read(jobs.ZIPPER, jobs.ZIPPER_SCHEMA).where("state = 'open'")
-    assert sorted({r.dt for r in table.collect()}) == DAYS[-2:]
+    lake = lake_of(spark, tmp_path, {DAYS[0]: [(1, "1"), (2, "1")], DAYS[1]: [(1, "1")]})
+    want = versions(lake, DAYS[1])
+    whole = jobs.latest(jobs.opened(lake, DAYS[1], with_day=True)).selectExpr("*", "'open' AS state")
+    closed = lake.read(jobs.ZIPPER, jobs.ZIPPER_SCHEMA).where(f"dt = '{DAYS[1]}' AND state = 'closed'").drop("dt")
+    jobs._write_history(whole.unionByName(closed), lake, jobs.ZIPPER, DAYS[1])
+    assert versions(lake, DAYS[1]) == want
+    put(spark, lake, DAYS[2], [(2, "4")])
+    jobs.build_history(lake, DAYS[2])
+    assert versions(lake, DAYS[2]) == [(1, "20", "21", 1), (1, "21", "open", 2), (2, "20", "22", 1), (2, "22", "open", 5)]
 
 
 def plain_loader(lake):
