@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -34,10 +35,14 @@ def build(app: str = "lectern", master: str | None = None, **extra: str) -> Spar
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder under the shared folder the cluster names in spark.checkpoint.dir.
 
-    Where that is unset, as in tests, it lies in the warehouse, which every
-    executor of the session writes to as well.
+    Where that is unset, as in tests, it lies in the warehouse. On a cluster a warehouse
+    in a local folder is one of each machine, so that is refused.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        master = spark.conf.get("spark.master", "local")
+        if urlparse(warehouse).scheme in ("", "file") and not master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = warehouse.rstrip("/") + "/_scratch"
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
