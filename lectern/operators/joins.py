@@ -18,6 +18,28 @@ def known(df: DataFrame, *ids: str) -> DataFrame:
     return df
 
 
+# what is sent to every executor, by the size of the files it is read from
+SMALL = 64 << 20
+
+
+def stored_bytes(df: DataFrame) -> int:
+    """Size that the planner reckons from the listing of the files; no job runs for it.
+
+    A join in the plan multiplies the sizes of its sides, and rows that come from
+    Python have no size, so both count as large.
+    """
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def if_small(df: DataFrame, limit: int = SMALL) -> DataFrame:
+    """The frame with a broadcast hint, if its files are within the limit; else as it is.
+
+    So a small side is broadcast in sessions with other thresholds too, and one that has
+    grown is joined as Spark chooses.
+    """
+    return F.broadcast(df) if stored_bytes(df) <= limit else df
+
+
 def one_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
 ) -> DataFrame:

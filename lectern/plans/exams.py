@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import SCORE, SCORE_EDGES, WHOLE, band
-from ..operators.joins import known, one_per_key
+from ..operators.joins import if_small, known, one_per_key
 from ..operators.ranking import top_levels
 from ..operators.rollups import (
     averages,
@@ -130,8 +130,8 @@ def answer_wide(load: Load, dt: str, answer_grain: bool = False) -> DataFrame:
         answers.join(known(paper, "paperviewid"), ["paperviewid", "dn"])
         .join(known(question, "questionid"), ["questionid", "dn"])
         .join(known(chapter, "chapterid"), ["chapterid", "dn"])
-        .join(known(course, "sitecourseid"), ["sitecourseid", "dn"])
-        .join(known(major, "majorid"), ["majorid", "dn"])
+        .join(if_small(known(course, "sitecourseid")), ["sitecourseid", "dn"])
+        .join(if_small(known(major, "majorid")), ["majorid", "dn"])
     )
 
 

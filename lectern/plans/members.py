@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import MONEY_SUM
-from ..operators.joins import known, one_per_key
+from ..operators.joins import if_small, known, one_per_key
 from ..operators.ranking import top_rows
 from ..operators.rollups import count_by
 from ..sources.reads import read
@@ -53,9 +53,9 @@ def member_rows(load: Load, dt: str) -> DataFrame:
     return (
         member.join(known(read(load, "member_regtype"), "uid"), ["uid", "dn"], "left")
         .join(paid, ["uid", "dn"], "left")
-        .join(known(read(load, "base_ad"), "ad_id"), ["ad_id", "dn"], "left")
-        .join(known(read(load, "base_website"), "siteid"), ["siteid", "dn"], "left")
-        .join(known(read(load, "vip_level"), "vip_id"), ["vip_id", "dn"], "left")
+        .join(if_small(known(read(load, "base_ad"), "ad_id")), ["ad_id", "dn"], "left")
+        .join(if_small(known(read(load, "base_website"), "siteid")), ["siteid", "dn"], "left")
+        .join(if_small(known(read(load, "vip_level"), "vip_id")), ["vip_id", "dn"], "left")
         .select(*WIDE_COLUMNS)
     )
 
@@ -87,10 +87,10 @@ def member_wide(load: Load, dt: str, fan_out: bool = False) -> DataFrame:
             .join(visits, ["uid", "dn"], "left")
             .withColumn("paymoney", (F.col("paymoney") * times).cast(MONEY_SUM))
         )
-    wide = wide.join(one_per_key(ads, ["ad_id", "dn"]), ["ad_id", "dn"], "left")
+    wide = wide.join(if_small(one_per_key(ads, ["ad_id", "dn"])), ["ad_id", "dn"], "left")
     # a site that is not in the base table stays null
     listed = one_per_key(sites, ["siteid", "dn"]).withColumn("_known", F.col("siteid"))
-    wide = wide.join(listed, ["siteid", "dn"], "left").withColumn("siteid", F.col("_known"))
+    wide = wide.join(if_small(listed), ["siteid", "dn"], "left").withColumn("siteid", F.col("_known"))
     return wide.withColumn("dt", F.lit(dt)).select(*WIDE_COLUMNS)
 
 
@@ -101,7 +101,7 @@ def _paid(load: Load, fan_out: bool) -> DataFrame:
     one = one_per_key(vip, keys).withColumn("_vip", F.col("vip_id"))
     payments = known(read(load, "payments"), "uid")
     paid = payments.groupBy("uid", *keys).agg(F.sum("paymoney").alias("_paid"))
-    rows = paid.join(one, keys, "left")
+    rows = paid.join(if_small(one), keys, "left")
     if fan_out:
         times = vip.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times"))
         rows = rows.join(times, keys, "left").withColumn(
