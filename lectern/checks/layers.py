@@ -549,11 +549,21 @@ def _exam_report(plan):
     return lambda spark, d: plan(exams.answer_wide(_layers(spark, d), DT, answer_grain=True))
 
 
+def _stored_answers(spark, load, columns: Sequence[str]) -> DataFrame:
+    """Rows of one answer each, stored with the columns that a report reads, as it reads them twice."""
+    rows = exams.answer_wide(load, DT, answer_grain=True).select(*columns)
+    path = scratch_dir(spark)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def _ranked(**options):
     def run(spark, d):
         load = _layers(spark, d)
         points = read(load, "chapter_dim", DT)
-        rows = exams.answer_wide(load, DT, answer_grain=True)
+        columns = options.get("columns", exams.RANKED_COLUMNS)
+        read_ = [*(c for c in columns if c != "pointname"), "paperviewid", "dn", "chapterid", "score"]
+        rows = _stored_answers(spark, load, list(dict.fromkeys(read_)))
         return exams.ranked(rows, points=points, **options)
 
     return run
@@ -674,7 +684,7 @@ SQL["paper_extremes_summary"] = SQL["paper_extremes"]
 
 def top3_answers_summary(spark, d):
     load = _layers(spark, d)
-    rows = exams.answer_wide(load, DT, answer_grain=True)
+    rows = _stored_answers(spark, load, exams.REPORT_COLUMNS)
     points = read(load, "chapter_dim", DT)
     return exams.ranked(rows, points=points, values=exams.score_summary(rows))
 

@@ -41,17 +41,20 @@ def if_small(df: DataFrame, limit: int = SMALL) -> DataFrame:
 
 
 def one_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
+    df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), copies: str | None = None
 ) -> DataFrame:
     """The first row of every key by ``order``, then by the remaining columns.
 
+    ``copies`` names a column for the number of rows the key had, counted in the same pass.
     An aggregate, not a window: each task keeps one row per key before the
     shuffle, so a key with very many rows stays cheap. Rows are sorted by key in
     each task for it, which spills; a minimum of rows cannot be hashed.
     """
     rest = [c for c in df.columns if c not in keys]
     ordered = [*order, *(c for c in rest if c not in order)]
+    counted = [] if copies is None else [F.count(F.lit(1)).alias(copies)]
     if not ordered:
-        return df.select(*keys).distinct()
-    picked = df.groupBy(*keys).agg(F.min(F.struct(*ordered)).alias("_row"))
-    return picked.select(*keys, *(F.col("_row").getField(c).alias(c) for c in rest))
+        return df.groupBy(*keys).agg(*counted) if counted else df.select(*keys).distinct()
+    picked = df.groupBy(*keys).agg(F.min(F.struct(*ordered)).alias("_row"), *counted)
+    fields = (F.col("_row").getField(c).alias(c) for c in rest)
+    return picked.select(*keys, *fields, *([] if copies is None else [copies]))

@@ -90,13 +90,15 @@ DIMENSIONS = {
 # wide answer table
 
 
-def answer_wide(load: Load, dt: str, answer_grain: bool = False) -> DataFrame:
+def answer_wide(load: Load, dt: str, answer_grain: bool = False, cut_first: bool = False) -> DataFrame:
     """Answers of a day joined to all five dimensions (119 columns).
 
     The chapter dimension has a row per point and question, so each answer
     appears once per such row. ``answer_grain``, the form that is stored, keeps one
     row per answer, with the first of the points, and ``copies``, the number of
-    rows it stands for; the reports count it as that many.
+    rows it stands for; the reports count it as that many. ``cut_first`` drops answers
+    without a point before any column is added to them, which reads the ids of the chapter
+    dimension once more; it is for whole rows, where every shuffle of an answer costs.
     """
     answers = (
         read(load, "answer", dt)
@@ -118,21 +120,27 @@ def answer_wide(load: Load, dt: str, answer_grain: bool = False) -> DataFrame:
         "chapter_sequence", "chapter_status", "chapter_courseid"
     )
     if answer_grain:
-        keys = ["chapterid", "dn"]
-        copies = chapter.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-        chapter = one_per_key(chapter, keys, ["pointid"]).join(copies, keys)
+        chapter = one_per_key(chapter, ["chapterid", "dn"], ["pointid"], copies="copies")
     major = read(load, "major_dim", dt)
     paper = read(load, "paper_dim", dt).drop("courseid")
-    # dimensions that may be too large to broadcast come first, while rows are
-    # narrow, and of those the one that multiplies rows comes last; courses and
-    # majors are few and are broadcast by the size of their files
-    return (
-        answers.join(known(paper, "paperviewid"), ["paperviewid", "dn"])
-        .join(known(question, "questionid"), ["questionid", "dn"])
-        .join(known(chapter, "chapterid"), ["chapterid", "dn"])
-        .join(if_small(known(course, "sitecourseid")), ["sitecourseid", "dn"])
-        .join(if_small(known(major, "majorid")), ["majorid", "dn"])
-    )
+    # what a join adds is moved again by every later one: chapters, which multiply rows, come
+    # last, unless there is one row of each, which only removes answers. Courses may be too
+    # many to broadcast, so they are met before rows multiply
+    sides = [
+        ("paperviewid", known(paper, "paperviewid")),
+        ("questionid", known(question, "questionid")),
+        ("sitecourseid", if_small(known(course, "sitecourseid"))),
+        ("majorid", if_small(known(major, "majorid"))),
+    ]
+    wide = answers
+    if cut_first:
+        wide = wide.join(known(chapter, "chapterid").select("chapterid", "dn"), ["chapterid", "dn"], "left_semi")
+    sides.insert(0 if answer_grain and not cut_first else 3, ("chapterid", known(chapter, "chapterid")))
+    for key, side in sides:
+        wide = wide.join(side, [key, "dn"])
+    ids = ["majorid", "dn", "sitecourseid", "chapterid", "questionid", "paperviewid"]
+    parts = (answers, paper, question, chapter, course, major)
+    return wide.select(*dict.fromkeys([*ids, *(c for part in parts for c in part.columns)]))
 
 
 # reports over the wide answer table

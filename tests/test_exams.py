@@ -1,6 +1,8 @@
 import pytest
 
+from lectern.checks import layers
 from lectern.plans import exams
+from lectern.sources.reads import read
 from tests.test_members import table
 
 DT = "20190722"
@@ -104,3 +106,31 @@ def test_one_row_per_answer(load, rows):
 def test_the_day_is_filtered_in_every_input(load):
     plan = exams.answer_wide(load, DT)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(f"= {DT})") == 17
+
+
+@pytest.mark.parametrize("answer_grain", [False, True])
+def test_answers_without_points_go_before_columns_come(load, rows, answer_grain):
+    plain = exams.answer_wide(load, DT, answer_grain)
+    cut = exams.answer_wide(load, DT, answer_grain, cut_first=True)
+    assert cut.columns == plain.columns and rows(cut) == rows(plain) != []
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    # the deepest join on the side of the answers only removes some
+    kinds = [line.split("Join ")[1].split(",")[0] for line in plan.splitlines() if "Join " in line]
+    assert kinds.count("LeftSemi") == 1
+
+
+@pytest.mark.parametrize(
+    "name", ["top3_answers", "low3_answers", "top3_answers_by_website", "low3_answers_with_site", "top3_answers_summary"]
+)
+def test_rankings_read_stored_answers(spark, load, rows, monkeypatch, name):
+    monkeypatch.setattr(layers, "_layers", lambda spark, d: load)
+    got = layers.QUERIES[name](spark, "")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # only the points, of four tables, are left to be joined; the answers were joined once
+    assert plan.count(f"= {DT})") == 4
+    wide = exams.answer_wide(load, DT, answer_grain=True)
+    columns = layers._WITH_SITE if "site" in name.split("_") else exams.RANKED_COLUMNS
+    want = exams.ranked(
+        wide, "top3" in name, by_website="website" in name, columns=columns, points=read(load, "chapter_dim", DT)
+    )
+    assert got.columns == want.columns and rows(got) == rows(want) != []

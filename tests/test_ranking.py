@@ -89,3 +89,11 @@ def test_unknown_ids_do_not_meet(spark):
     right = spark.createDataFrame([(0, "b")] * 20 + [(1, "b"), (None, "b")], "id int, r string")
     assert left.join(known(right, "id"), "id").count() == 1
     assert left.join(known(right, "id"), "id", "left").count() == 21
+
+
+def test_one_per_key_counts_its_rows(spark, rows):
+    df = spark.createDataFrame([("a", 2), ("a", 1), ("b", None), (None, 1), (None, 1)], "k string, o int")
+    assert rows(one_per_key(df, ["k"], ["o"], copies="n")) == sorted(
+        [("a", 1, 2), ("b", None, 1), (None, 1, 2)], key=repr
+    )
+    assert rows(one_per_key(df.select("k"), ["k"], copies="n")) == sorted([("a", 2), ("b", 1), (None, 2)], key=repr)
