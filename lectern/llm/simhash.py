@@ -198,9 +198,11 @@ def near_duplicates(
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with one row of each group of near duplicates: the one with the smallest id.
 
-    Near duplicates share 0.8 or more of their five-word shingles (Jaccard), as
-    ``similar_groups`` finds them without loss; the fingerprints and bits of op1 play no
-    part. Of rows with equal ids, and of rows without an id, the first in the order of
+    Documents are linked by their fingerprints, as ``near_duplicates`` links them, at four
+    bits or fewer. To these come the links of an exact check, ``similar_groups``: 0.8 or
+    more of the five-word shingles shared (Jaccard), which four bits miss for many pairs. A
+    group is what links of either kind connect. Of rows with equal ids, and of rows
+    without an id, the first in the order of
     the table counts as smallest; a null id comes after all others. docs must be a
     stored table, whose rows can be numbered alike twice. Columns are those of the
     input.
@@ -214,9 +216,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.col(row).alias("row")
         ).alias("id"),
     )
+    linked = near_duplicates(texts, "row", "text").select("row", "component")
+    groups = store(joined_groups(linked, similar_groups(texts)))
     chosen = store(
-        similar_groups(texts)
-        .join(ids, "row")
+        groups.join(ids, "row")
         .groupBy("group")
         .agg(F.min("id").alias("id"))
         .select(F.col("id.row").alias(row))
@@ -224,6 +227,17 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return numbered.join(chosen.hint("merge"), row, "left_semi").select(*docs.columns)
 
 
+def joined_groups(linked: DataFrame, similar: DataFrame) -> DataFrame:
+    """(row, group): what the components of ``linked`` and the groups of ``similar`` connect.
+
+    Both name a group by one of its rows, so a row ties its component to its group.
+    """
+    both = store(linked.join(similar.hint("merge"), "row"))
+    found = components(both.select(F.col("component").alias("a"), F.col("group").alias("b")))
+    ends = found.select(F.col("node").alias("group"), "root")
+    return both.join(ends, "group", "left").select("row", F.coalesce("root", "group").alias("group"))
+
+
 def op1_simhash(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = near_duplicates(docs)

@@ -3,7 +3,9 @@ import random
 import pytest
 
 from lectern.llm import simhash
+from lectern.llm.common import store
 from lectern.llm.components import components
+from lectern.llm.similar import shingles
 
 
 def brute(rows):
@@ -99,3 +101,20 @@ def test_components_of_a_chain(spark):
     edges = [(k, k + 1) for k in range(200)] + [(300, 301), (301, 300), (5, 5), (None, 3)]
     found = {r[0]: r[1] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {**dict.fromkeys(range(201), 0), 300: 300, 301: 300}
+
+
+def test_groups_of_both_links_are_joined(spark):
+    linked = spark.createDataFrame([(0, 0), (1, 0), (2, 2), (3, 3), (4, 3), (5, 5)], "row long, component long")
+    similar = spark.createDataFrame([(0, 0), (1, 1), (2, 1), (3, 3), (4, 4), (5, 5)], "row long, `group` long")
+    got = {r["row"]: r["group"] for r in simhash.joined_groups(linked, similar).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 3, 4: 3, 5: 5}
+
+
+def test_keep_one_links_by_fingerprints(spark):
+    """Repeated shingles weigh in a fingerprint; the exact check counts them once and keeps both texts apart."""
+    texts = ["a b c d e f g " * 200 + " ".join(f"{end}{k}" for k in range(20)) for end in "xy"]
+    assert (simhash.fingerprint(texts[0]) ^ simhash.fingerprint(texts[1])).bit_count() <= 4
+    first, second = (set(shingles(t)) for t in texts)
+    assert len(first & second) < 0.8 * len(first | second)
+    docs = store(spark.createDataFrame([(2, texts[0]), (1, texts[1]), (3, "ten")], "doc_id long, text string"))
+    assert sorted(r[0] for r in simhash.keep_one(docs).select("doc_id").collect()) == [1, 3]
