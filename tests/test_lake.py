@@ -2,6 +2,7 @@ from pathlib import Path
 
 import pytest
 
+from lectern.checks.logs import write_log
 from lectern.sources import Lake
 from lectern.sources import lake as lake_files
 from lectern.sources.reads import READS
@@ -129,3 +130,17 @@ def test_a_day_may_be_replaced_by_what_is_read_from_it(spark, lake, rows):
     schema = frame(spark, []).schema
     lake.replace_day(lake.read("t", schema).where("x = 2"), "t", "20190722")
     assert rows(lake.read("t"), "x", "dn") == [(2, "b")]
+
+
+def test_logs_are_compressed_and_dropped(spark, tmp_path):
+    root = tmp_path / "lake"
+    lines = [f'{{"uid":{k}}}' for k in range(25)]
+    log = spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1)
+    write_log(log, f"{root}/raw/a.log", max_lines=10)
+    names = [p.name for p in (root / "raw/a.log").glob("part-*")]
+    assert len(names) == 3 and all(n.endswith(".txt.gz") for n in names)
+    assert sorted(r[0] for r in spark.read.text(f"{root}/raw/a.log").collect()) == sorted(lines)
+    lake = Lake(spark, str(root))
+    lake.drop("raw")
+    lake.drop("raw")
+    assert not (root / "raw").exists()
