@@ -1,3 +1,5 @@
+import pytest
+
 from lectern.plans import jobs
 from lectern.sources import CLEANED, Lake
 from lectern.sources.jsonlines import json_objects
@@ -110,6 +112,49 @@ def test_days_stored_whole_are_read(spark, tmp_path, monkeypatch):
     assert versions(lake, DAYS[2]) == [(1, "20", "21", 1), (1, "21", "open", 2), (2, "20", "22", 1), (2, "22", "open", 5)]
 
 
+def test_a_day_is_scanned_from_few_files(spark, tmp_path, monkeypatch):
+    """However many parts a shuffle has; what is written to be read twice is gone afterwards."""
+    monkeypatch.setattr(jobs, "loader", plain_loader)
+    plans, write = [], jobs._write_history
+
+    def look(rows, lake, table, dt):
+        if table == jobs.ZIPPER:
+            steps = [f for f in rows.inputFiles() if "/_steps/" in f]
+            plans.append((len(steps), rows._jdf.queryExecution().executedPlan().toString()))
+        write(rows, lake, table, dt)
+
+    monkeypatch.setattr(jobs, "_write_history", look)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        lake = lake_of(spark, tmp_path, {d: [(u, "1") for u in range(300)] for d in DAYS[:2]})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(plans) == 2
+    for files, plan in plans:
+        assert 1 <= files <= 8
+        assert "InMemoryTableScan" not in plan
+    assert list((tmp_path / "_steps").iterdir()) == []
+    assert [v[3] for v in versions(lake, DAYS[1]) if v[2] == "open"] == [2] * 300
+
+
+def test_a_step_left_by_a_job_that_died_is_replaced(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "loader", plain_loader)
+    lake = lake_of(spark, tmp_path, {DAYS[0]: [(1, "10"), (None, "3")]})
+    step = f"_steps/{jobs.ZIPPER}-{DAYS[1]}"
+    spark.range(5).write.parquet(lake.path(step))
+    put(spark, lake, DAYS[1], [(1, "5"), (None, "4")])
+    with monkeypatch.context() as broken:
+        broken.setattr(jobs, "_write_history", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            jobs.build_history(lake, DAYS[1])
+    assert list((tmp_path / "_steps").iterdir()) == [] and lake.days(jobs.ZIPPER) == DAYS[:1]
+    spark.range(5).write.parquet(lake.path(step))
+    jobs.build_history(lake, DAYS[1])
+    got = sorted((r.uid or 0, r.end_time[-2:], int(r.paymoney)) for r in jobs.history(lake, DAYS[1]).collect())
+    assert got == [(0, "21", 3), (0, "31", 7), (1, "21", 10), (1, "31", 15)]
+
+
 def plain_loader(lake):
     return lambda t: lake.read(t, CLEANED[t].schema if t == PAY else None)
 
