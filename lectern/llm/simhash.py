@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import for_pandas, free_name, from_pandas, small_batches, store
+from lectern.llm.common import Steps, for_pandas, free_name, from_pandas, small_batches, store
 from lectern.llm.components import components
 from lectern.llm.similar import similar_groups
 
@@ -122,16 +122,18 @@ def _pairs_of(key: int, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return fps[left[keep]], fps[right[keep]]
 
 
-def links(fps: DataFrame, long_list: int = LONG_LIST) -> DataFrame:
+def links(fps: DataFrame, long_list: int = LONG_LIST, step: Steps | None = None) -> DataFrame:
     """Edges (a, b) whose components are those of the link graph of the distinct values fp.
 
-    An end may also be a midpoint; those are marked by tag 1, fingerprints by 0.
+    An end may also be a midpoint; those are marked by tag 1, fingerprints by 0. ``step``
+    stores what is read on the way; by default it stays.
     """
-    posts = store(
+    step = step or store
+    posts = step(
         fps.select("fp").distinct().select("fp", F.explode(_posting_keys(F.col("fp"))).alias("key"))
     )
     # lists with one entry, nearly all of them, end here
-    sizes = store(posts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    sizes = step(posts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     lists = (
         posts.join(sizes.where(F.col("n") <= long_list), "key")
         .groupBy("key")
@@ -180,17 +182,18 @@ def near_duplicates(
     table gives an empty result; other columns are ignored.
     """
     rows = store(fingerprints(docs, id_col, text_col))
-    least = store(rows.groupBy("fp").agg(F.min("id").alias("least")))
-    found = components(links(least, long_list)).where("node.tag = 0")
-    roots = found.select(F.col("node.value").alias("fp"), "root")
-    # the smallest id of each component, then of each fingerprint in it
-    of_root = roots.join(least, "fp").groupBy("root").agg(F.min("least").alias("component"))
-    joined = roots.join(of_root, "root").select("fp", F.col("component").alias("linked"))
-    names = store(
-        least.join(joined, "fp", "left").select(
-            "fp", F.coalesce("linked", "least").alias("component")
+    with Steps(docs.sparkSession) as step:
+        least = step(rows.groupBy("fp").agg(F.min("id").alias("least")))
+        found = components(links(least, long_list, step)).where("node.tag = 0")
+        roots = found.select(F.col("node.value").alias("fp"), "root")
+        # the smallest id of each component, then of each fingerprint in it
+        of_root = roots.join(least, "fp").groupBy("root").agg(F.min("least").alias("component"))
+        joined = roots.join(of_root, "root").select("fp", F.col("component").alias("linked"))
+        names = store(
+            least.join(joined, "fp", "left").select(
+                "fp", F.coalesce("linked", "least").alias("component")
+            )
         )
-    )
     # copies share a fingerprint: adaptive execution splits the hot ones
     return rows.join(names, "fp").select(F.col("id").alias(id_col), "fp", "component")
 
@@ -199,8 +202,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """The documents with one row of each group of near duplicates: the one with the smallest id.
 
     Documents are linked by their fingerprints, as ``near_duplicates`` links them, at four
-    bits or fewer. To these come the links of an exact check, ``similar_groups``: 0.8 or
-    more of the five-word shingles shared (Jaccard), which four bits miss for many pairs. A
+    bits or fewer, if an exact check bears the link out: a document and the first one of its
+    fingerprint or component share 0.8 or more of their five-word shingles, with repeats
+    counted as a fingerprint counts them. To these come all pairs that share 0.8 or more of
+    their distinct shingles (Jaccard), which four bits miss for many. A
     group is what links of either kind connect. Of rows with equal ids, and of rows
     without an id, the first in the order of
     the table counts as smallest; a null id comes after all others. docs must be a
@@ -216,17 +221,28 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.col(row).alias("row")
         ).alias("id"),
     )
-    linked = near_duplicates(texts, "row", "text").select("row", "component")
-    groups = store(joined_groups(linked, similar_groups(texts)))
-    chosen = store(
-        groups.join(ids, "row")
-        .groupBy("group")
-        .agg(F.min("id").alias("id"))
-        .select(F.col("id.row").alias(row))
-    )
+    with Steps(docs.sparkSession) as step:
+        groups = similar_groups(texts, step(_first_rows(near_duplicates(texts, "row", "text"))))
+        chosen = store(
+            groups.join(ids, "row")
+            .groupBy("group")
+            .agg(F.min("id").alias("id"))
+            .select(F.col("id.row").alias(row))
+        )
     return numbered.join(chosen.hint("merge"), row, "left_semi").select(*docs.columns)
 
 
+def _first_rows(linked: DataFrame) -> DataFrame:
+    """(row, first): each row with the first one of its fingerprint, and of its component."""
+    of_fp = linked.groupBy("fp").agg(F.min("row").alias("first"), F.first("component").alias("component"))
+    return (
+        linked.select("row", "fp")
+        .join(of_fp.hint("merge"), "fp")
+        .select("row", F.explode(F.array_distinct(F.array("first", "component"))).alias("first"))
+        .where("row <> first")
+    )
+
+
 def joined_groups(linked: DataFrame, similar: DataFrame) -> DataFrame:
     """(row, group): what the components of ``linked`` and the groups of ``similar`` connect.
 
