@@ -2,10 +2,14 @@
 
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
+from lectern.checks import layers
 from lectern.llm import simhash
+from lectern.plans import exams
 from lectern.sources.steps import Relay, Steps, store
+from tests.test_exams import DT, load  # noqa: F401
 
 
 def shuffle_files(spark):
@@ -50,3 +54,40 @@ def test_steps_are_dropped_together(spark):
         step(counted(spark)).count()
         assert Path(step.root.removeprefix("file:"), "1").exists()
     assert not Path(step.root.removeprefix("file:")).exists()
+
+
+@pytest.mark.parametrize("answer_grain", [False, True])
+def test_whole_answers_are_joined_in_steps(spark, load, rows, answer_grain):  # noqa: F811
+    plain = exams.answer_wide(load, DT, answer_grain)
+    stored = []
+    relay = Relay(spark)
+
+    def step(df):
+        stored.append(relay(df))
+        return stored[-1]
+
+    before = shuffle_files(spark)
+    wide = exams.answer_wide(load, DT, answer_grain, cut_first=True, step=step)
+    assert shuffle_files(spark) <= before
+    assert wide.columns == plain.columns and rows(wide) == rows(plain) != []
+    # questions, courses, papers; chapters and majors are left to the query
+    assert len(stored) == 3 and stored[-1].count() == 2
+    assert "papername" in stored[-1].columns and "chaptername" not in stored[-1].columns
+
+
+@pytest.mark.parametrize("name", ["wide_answer", "wide_answer_per_answer"])
+def test_wide_answers_leave_one_step(spark, load, rows, monkeypatch, name):  # noqa: F811
+    monkeypatch.setattr(layers, "_layers", lambda spark, d: load)
+    before = shuffle_files(spark)
+    wide = layers.QUERIES[name](spark, "")
+    assert shuffle_files(spark) <= before
+    # of 17 tables the answers and those of questions, courses and papers are in the step
+    assert wide._jdf.queryExecution().optimizedPlan().toString().count(f"= {DT})") == 7
+    assert rows(wide) == rows(exams.answer_wide(load, DT, name.endswith("per_answer")))
+
+
+def test_stored_answers_are_not_broadcast(spark, load):  # noqa: F811
+    """Files of few bytes can hold very many rows, so a step is never the side that is sent."""
+    wide = exams.answer_wide(load, DT, answer_grain=True, cut_first=True, step=Relay(spark))
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "strategy=merge" in plan
