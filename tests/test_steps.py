@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from lectern.checks import layers
 from lectern.llm import simhash
-from lectern.plans import exams
+from lectern.plans import exams, jobs
+from lectern.sources import CLEANED, Lake
 from lectern.sources.steps import Relay, Steps, store
 from tests.test_exams import DT, load  # noqa: F401
 
@@ -86,6 +87,18 @@ def test_wide_answers_leave_one_step(spark, load, rows, monkeypatch, name):  # n
     assert rows(wide) == rows(exams.answer_wide(load, DT, name.endswith("per_answer")))
 
 
+@pytest.mark.parametrize(
+    "name, sides", [("dws_qz_chapter", 1), ("dws_qz_course", 0), ("dws_qz_paper", 1), ("dws_qz_question", 1)]
+)
+def test_sides_that_grow_are_not_broadcast(spark, tmp_path, name, sides):
+    """However small their files are: only chapter lists, centers and question types are sent whole."""
+    lake = Lake(spark, str(tmp_path))
+    for table, spec in CLEANED.items():
+        spark.createDataFrame([], spec.schema).write.parquet(lake.path(table))
+    plan = exams.DIMENSIONS[name](jobs.loader(lake), DT)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastExchange") == sides
+
+
 def test_stored_answers_are_not_broadcast(spark, load):  # noqa: F811
     """Files of few bytes can hold very many rows, so a step is never the side that is sent."""
     wide = exams.answer_wide(load, DT, answer_grain=True, cut_first=True, step=Relay(spark))
