@@ -12,6 +12,8 @@ from lectern.sources import CLEANED, Lake
 from lectern.sources.steps import Relay, Steps, store
 from tests.test_exams import DT, load  # noqa: F401
 
+SF = "/root/testdata/sf0.001"
+
 
 def shuffle_files(spark):
     files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
@@ -104,3 +106,31 @@ def test_stored_answers_are_not_broadcast(spark, load):  # noqa: F811
     wide = exams.answer_wide(load, DT, answer_grain=True, cut_first=True, step=Relay(spark))
     plan = wide._jdf.queryExecution().optimizedPlan().toString()
     assert "Join Inner" in plan and "strategy=merge" in plan
+
+
+def test_reports_keep_rows_in_memory_only(spark):
+    with jobs.shared(spark.range(10)) as rows:
+        assert rows.count() == 10 and not rows.storageLevel.useDisk and rows.storageLevel.useMemory
+
+
+def test_lake_writes_leave_no_shuffle_files(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    before = shuffle_files(spark)
+    rows = counted(spark).withColumns({"dt": F.lit(DT), "dn": F.lit("a")})
+    lake.write(rows, "t")
+    lake.replace_day(rows, "u", DT)
+    assert shuffle_files(spark) <= before
+    assert lake.read("t").count() == lake.read("u").count() == 7
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="needs the driver's tables")
+def test_one_raw_log_at_a_time(spark, monkeypatch):
+    seen, ingest = [], jobs.ingest
+
+    def watched(lake, raw, tables=None, **options):
+        seen.append(len([p for p in Path(raw.removeprefix("file:")).iterdir()]))
+        return ingest(lake, raw, tables, **options)
+
+    monkeypatch.setattr(jobs, "ingest", watched)
+    assert layers.reports_from_lake(spark, SF).count() > 0
+    assert seen == [1] * len(layers.RAW)
